@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import op3_exact_dedup, op10_mixing
+from . import op1_packing, op3_exact_dedup, op4_simhash, op10_mixing
 
 _MODULES = {
+    "op1_packing": op1_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_simhash": op4_simhash,
     "op10_mixing": op10_mixing,
 }
 
