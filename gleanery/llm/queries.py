@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from . import op1_packing, op3_exact_dedup, op4_simhash, op10_mixing
+from . import (
+    op1_packing,
+    op2_quality,
+    op3_exact_dedup,
+    op4_simhash,
+    op6_line_dedup,
+    op10_mixing,
+)
 
 _MODULES = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op6_line_dedup": op6_line_dedup,
     "op10_mixing": op10_mixing,
 }
 
