@@ -7,7 +7,9 @@ from . import (
     op2_quality,
     op3_exact_dedup,
     op4_simhash,
+    op5_url_filter,
     op6_line_dedup,
+    op7_fertility,
     op10_mixing,
 )
 
@@ -16,7 +18,9 @@ _MODULES = {
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op5_url_filter": op5_url_filter,
     "op6_line_dedup": op6_line_dedup,
+    "op7_fertility": op7_fertility,
     "op10_mixing": op10_mixing,
 }
 
