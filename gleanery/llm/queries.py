@@ -10,6 +10,8 @@ from . import (
     op5_url_filter,
     op6_line_dedup,
     op7_fertility,
+    op8_brown_lm,
+    op9_token_rollup,
     op10_mixing,
 )
 
@@ -21,6 +23,8 @@ _MODULES = {
     "op5_url_filter": op5_url_filter,
     "op6_line_dedup": op6_line_dedup,
     "op7_fertility": op7_fertility,
+    "op8_brown_lm": op8_brown_lm,
+    "op9_token_rollup": op9_token_rollup,
     "op10_mixing": op10_mixing,
 }
 
