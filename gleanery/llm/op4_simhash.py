@@ -28,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .staging import stage
+from .staging import release, stage
 
 SHINGLE = 4
 BITS = 4
@@ -103,9 +103,10 @@ def _midpoints(prints: DataFrame) -> DataFrame:
 
 def links(prints: DataFrame, small: int = SMALL) -> DataFrame:
     """Pairs (u, v) of distinct fingerprints within 4 bits that connect all that are."""
-    filed = _filed(prints)
-    shared = stage(filed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    members = stage(filed.join(shared, "key"), "members")
+    # Rows are distinct fingerprints, moved once; values that nothing shares end here.
+    counted = _filed(prints).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    members = stage(counted.where("n > 1"), "members")
+    release(prints.sparkSession)
     few = members.where(F.col("n") <= small)
     a, b = few.select("key", F.col("fp").alias("u")), few.select("key", F.col("fp").alias("v"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= BITS

@@ -7,7 +7,9 @@ Parquet, so a lost executor costs a reread, not a recomputation.
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +39,44 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def stage_bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Like ``stage``, in as many buckets by ``keys`` as shuffles have partitions: later
+    joins on ``keys`` move the other side only."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, *keys).saveAsTable(table)
+    out = spark.table(table)
+    out._staged = path
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs. Spark deletes them when the driver
+    collects its garbage, which a driver with a large heap may not do for hours."""
+    for _ in range(2):  # what the first round finds, the second lets go of
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a staged table that nothing will read again."""
+    _delete(df.sparkSession, df._staged)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear(spark: SparkSession) -> None:
     """Delete everything this package staged in the shared folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/gleanery")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_root(spark)}/gleanery")
