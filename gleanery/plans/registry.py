@@ -2,10 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from importlib import import_module
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def oracle_sql():
-    return {}
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+_MODULES = ("scalars", "tables", "crawling", "reading", "streams")
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with the SQL that gives the same rows."""
+
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _load() -> None:
+    for module in _MODULES:
+        import_module(f"gleanery.plans.{module}")
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    _load()
+    return dict(_SQL)

@@ -1,0 +1,59 @@
+"""Structured Streaming forms of the incremental operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.merging import complete, fold, upsert
+
+
+def read_table(spark: SparkSession, folder: str, table: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
+    """A stream of a Parquet table's files."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+
+
+def dedup(stream: DataFrame, keys: list[str], time: str, delay: str = "10 minutes") -> DataFrame:
+    """The first row of each key; state older than the watermark is dropped."""
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+
+
+def windowed_counts(stream: DataFrame, time: str, by: list[str], width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """Tumbling counts (an extension of ours)."""
+    return stream.withWatermark(time, delay).groupBy(F.window(time, width), *by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def session_counts(stream: DataFrame, time: str, by: list[str], gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Session counts (an extension of ours)."""
+    return stream.withWatermark(time, delay).groupBy(F.session_window(time, gap), *by).agg(F.count(F.lit(1)).alias("n"))
+
+
+class SnapshotSink:
+    """``foreachBatch`` target: each batch is folded into the next snapshot of a listing table.
+
+    Snapshots are folders named by batch; a batch that is delivered again rewrites its own
+    folder from its predecessor, so the result doesn't change.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _path(self, batch: int) -> str:
+        return f"{self.folder}/snapshot={batch}"
+
+    def current(self, batch: int) -> DataFrame | None:
+        return self.spark.read.parquet(self._path(batch)) if batch >= 0 else None
+
+    def __call__(self, rows: DataFrame, batch: int) -> None:
+        stored = self.current(batch - 1)
+        new = complete(rows, keep=["seq"])
+        (fold(new) if stored is None else upsert(stored, new)).write.mode("overwrite").parquet(self._path(batch))
+
+
+def merge_stream(stream: DataFrame, folder: str, checkpoint: str) -> int:
+    """Fold all that is available into snapshots; returns the last batch's number."""
+    sink = SnapshotSink(stream.sparkSession, folder)
+    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return max((p["batchId"] for p in query.recentProgress if p["numInputRows"]), default=-1)
