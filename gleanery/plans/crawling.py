@@ -78,15 +78,15 @@ def terminal_pages(spark, sf_dir):
     return frontier.latest_pages(_log(spark, sf_dir)).select("url", frontier.is_terminal(F.col("status")).alias("gone"))
 
 
-@query("SELECT n_name AS label FROM nation WHERE n_regionkey <> 2 EXCEPT SELECT n_name FROM nation WHERE n_nationkey % 2 = 0")
+@query("SELECT c_custkey AS label FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def set_diff(spark, sf_dir):
     """SET-02."""
-    n = table(spark, sf_dir, "nation")
-    return n.where("n_regionkey != 2").select(F.col("n_name").alias("label")).join(n.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("label")), "label", "left_anti")
+    queued = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("label"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("label")).join(queued, "label", "left_anti")
 
 
 @query("""
-WITH RECURSIVE s AS (SELECT event_id, user_id, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events WHERE user_id <= 20),
+WITH RECURSIVE s AS (SELECT event_id, user_id, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
 c(start, page, url) AS (SELECT event_id, 1, event_id FROM s WHERE k = 1 UNION ALL SELECT c.start, c.page + 1, s.nxt FROM c JOIN s ON s.event_id = c.url WHERE s.nxt IS NOT NULL AND c.page < 5)
 SELECT start::VARCHAR AS start, page, url::VARCHAR AS url FROM c
 """)
@@ -95,7 +95,7 @@ def page_chain(spark, sf_dir):
     from pyspark.sql import Window
 
     w = Window.partitionBy("user_id").orderBy("event_id")
-    e = table(spark, sf_dir, "events").where("user_id <= 20").select(
+    e = table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("url"), F.lead("event_id").over(w).cast("string").alias("next_url"), F.row_number().over(w).alias("k")
     )
     return frontier.page_chain(e, e.where("k = 1"), 5)

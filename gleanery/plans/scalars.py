@@ -96,10 +96,10 @@ def size_basis_normalise(spark, sf_dir):
     )
 
 
-@query("SELECT doc_id, nullif(trim(regexp_replace(left(text, 400), '\\s+', ' ', 'g')), '') AS cleaned FROM documents")
+@query("SELECT doc_id, nullif(trim(regexp_replace(text, '\\s+', ' ', 'g')), '') AS cleaned FROM documents")
 def clean_text(spark, sf_dir):
-    """STR-01, on the openings that a listing's title would have."""
-    return table(spark, sf_dir, "documents").select("doc_id", text.clean(F.substring("text", 1, 400)).alias("cleaned"))
+    """STR-01."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.clean(F.col("text")).alias("cleaned"))
 
 
 @query("""
