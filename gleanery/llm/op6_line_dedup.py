@@ -3,15 +3,18 @@
 A line's tokens are its distinct words. A line goes if an earlier line, in the order of
 (doc_id, line number), kept or not, has a Jaccard similarity of 0.8 or more with it.
 
-1. Lines with equal token sets are one class, known by its first place.
+1. Equal lines are one class, known by a 128-bit digest (c1, c2) and its first place. The
+   classes are bucketed by digest, so that later joins move pairs, not the corpus.
 2. Rarity: tokens are counted in ``BUCKETS`` hashed buckets; a token's level is the
    logarithm of its bucket's count. Tokens are ordered by (level, hash), rarest first.
 3. Prefix filter: similar sets share one of their first n - ceil(0.8 n) + 1 tokens.
-   Length and positional filters sit in the join condition.
+   Length and positional filters sit in the join condition; of the pairs it leaves, those
+   whose prefixes share too few tokens go before any text is moved.
 4. Groups of variants of one line are settled first, each class against the earliest
-   class that shares the most places of the prefix with it: rows in proportion to the
-   classes. Only classes not settled by that probe the whole prefix table, so no pair
-   of two settled classes is ever made.
+   class of its length that shares most of its ``HEAD`` rarest tokens: rows in proportion
+   to the classes. Only classes not settled by that probe the whole prefix table, in
+   ``SLICES`` slices of tokens to bound the shuffle files, so no pair of two settled
+   classes is ever made.
 5. Jaccard is verified on the words themselves.
 
 Defined edge cases
@@ -24,34 +27,59 @@ Defined edge cases
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
-from .words import word_array
+from .staging import release, stage, stage_bucketed, unstage
+from .words import SPACE
 
 #: Similarity as a fraction, 4 / 5.
 NUM, DEN = 4, 5
 BUCKETS = 1 << 20
+SLICES = 4
+HEAD = 6
 _GROUP = 1 << 10
 _HASH_BITS = 56
 _NO_ID = (1 << 63) - 1
 
 
-def _place(doc_id: Column, line: Column) -> Column:
-    """One number for (doc_id, line), in their order."""
-    wide = F.coalesce(doc_id, F.lit(_NO_ID)).cast("decimal(38,0)")
-    return (wide * F.lit(1 << 31).cast("decimal(12,0)") + line).cast("decimal(38,0)")
+_ID = 1 << 61
+
+
+def _place(doc_id: Column, text_hash: Column, line: Column) -> Column:
+    """One number in the order of (id, text, line); 30 bits of hash tell apart texts that share an id."""
+    rest = F.shiftleft(text_hash.bitwiseAND(F.lit((1 << 30) - 1)), 31) + line
+    return _joined(F.coalesce(doc_id, F.lit(_NO_ID)), rest)
+
+
+def _joined(id_: Column, rest: Column) -> Column:
+    return (id_.cast("decimal(20,0)") * F.lit(_ID).cast("decimal(19,0)") + rest.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def _parted(place: Column) -> dict[str, Column]:
+    """A place as two longs in the same order, which joins compare faster."""
+    id_ = F.call_function("div", place, F.lit(_ID).cast("decimal(19,0)"))
+    return {"id": id_, "rest": (place - id_.cast("decimal(20,0)") * F.lit(_ID).cast("decimal(19,0)")).cast("long")}
 
 
 def lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(id, th, line, canon, cid, place) of every line with words."""
+    """(id, th, line, raw, c1, c2, place) of every line with words."""
     slim = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     split = slim.where("text is not null").select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    canon = F.array_join(F.sort_array(F.array_distinct(word_array(F.col("raw")))), " ")
-    named = split.select("id", "th", "line", canon.alias("canon")).where("canon != ''")
-    cid = F.substring(F.unhex(F.sha2("canon", 256)), 1, 16)
-    return named.withColumn("cid", cid).withColumn("place", _place(F.col("id"), F.col("line")))
+    return split.where(F.col("raw").rlike(r"[^\x20\x09-\x0D]")).withColumns({
+        "c1": F.xxhash64("raw"), "c2": F.xxhash64(F.lit(1), "raw"), "place": _place(F.col("id"), F.col("th"), F.col("line")),
+    })
+
+
+def line_classes(found: DataFrame) -> DataFrame:
+    """(c1, c2, id, rest, words): distinct lines, their first place and words, one space between two."""
+    classes = found.groupBy("c1", "c2").agg(F.min("place").alias("place"), F.first("raw").alias("raw"))
+    trimmed = F.btrim("raw", F.lit(" \t\n\v\f\r"))
+    # Most lines are written that way already.
+    words = F.when(F.col("raw").rlike(r"[\x09-\x0D]|^ | $|  "), F.regexp_replace(trimmed, SPACE + "+", " ")).otherwise(F.col("raw"))
+    return classes.select("c1", "c2", *[c.alias(k) for k, c in _parted(F.col("place")).items()], words.alias("words"))
 
 
 def _hash(word: Column) -> Column:
@@ -61,7 +89,7 @@ def _hash(word: Column) -> Column:
 def rarity(classes: DataFrame) -> bytes:
     """One byte a bucket: the level of its count. ``BUCKETS`` bytes, whatever the input."""
     spark = classes.sparkSession
-    ones = classes.select(F.explode(F.split("canon", " ")).alias("w")).select(
+    ones = classes.select(F.explode(F.split("words", " ")).alias("w")).select(
         F.pmod(_hash(F.col("w")), F.lit(BUCKETS)).alias("b"), F.lit(1).cast("long").alias("n")
     )
     none = spark.range(BUCKETS).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n"))
@@ -73,66 +101,113 @@ def rarity(classes: DataFrame) -> bytes:
 
 
 def prefixes(classes: DataFrame, levels: bytes) -> DataFrame:
-    """(token, i, n, cid, place): the rarest tokens of each class, i counted from 1."""
+    """(id, rest, n, front): the rarest tokens of each class, rarest first."""
     table = F.lit(levels)
 
-    def token(w: Column) -> Column:
-        h = _hash(w)
+    def token(h: Column) -> Column:
         level = F.ascii(F.substring(table, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int"), F.lit(1)).cast("string")).cast("long")
         return F.shiftleft(level, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
-    ordered = F.sort_array(F.transform(F.split("canon", " "), token))
+    distinct = F.array_distinct(F.transform(F.split("words", " "), _hash))
+    ordered = classes.select("id", "rest", F.sort_array(F.transform(distinct, token)).alias("ordered"))
     n = F.size("ordered")
     length = n - F.ceil(n * F.lit(NUM) / F.lit(DEN)).cast("int") + 1
-    return classes.select("cid", "place", ordered.alias("ordered")).select(
-        "cid", "place", n.alias("n"), F.posexplode(F.slice("ordered", F.lit(1), length)).alias("i0", "token")
-    ).select("token", (F.col("i0") + 1).alias("i"), "n", "cid", "place")
+    return ordered.select("id", "rest", n.alias("n"), F.slice("ordered", F.lit(1), length).alias("front"))
+
 
+def _tokens(fronts: DataFrame) -> DataFrame:
+    """(token, i, n, id, rest), i counted from 1."""
+    return fronts.select("id", "rest", "n", F.posexplode("front").alias("i0", "token")).select("token", (F.col("i0") + 1).alias("i"), "n", "id", "rest")
 
-def _needed(n: Column, m: Column) -> Column:
-    """Least overlap of similar sets of n and m tokens: ceil(t / (1 + t) * (n + m))."""
-    return F.ceil((n + m) * NUM / F.lit(NUM + DEN))
+
+def _able(pairs: DataFrame, fronts: DataFrame) -> DataFrame:
+    """Of pairs (id, rest, id2, rest2), those that can reach the overlap that similar sets need.
+
+    Tokens up to the smaller of the two last ones of the fronts are all in both fronts, so
+    the overlap is at most what the fronts share and the rest of that set.
+    """
+    one = fronts.select("id", "rest", F.col("n").alias("n1"), F.col("front").alias("f1"))
+    two = fronts.select(F.col("id").alias("id2"), F.col("rest").alias("rest2"), F.col("n").alias("n2"), F.col("front").alias("f2"))
+    both = pairs.join(one, ["id", "rest"]).join(two, ["id2", "rest2"])
+    beyond = F.when(F.element_at("f1", -1) <= F.element_at("f2", -1), F.col("n1") - F.size("f1")).otherwise(F.col("n2") - F.size("f2"))
+    most = F.size(F.array_intersect("f1", "f2")) + beyond
+    return both.where(most * (NUM + DEN) >= (F.col("n1") + F.col("n2")) * NUM).select("id", "rest", "id2", "rest2")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of pairs (cid, earlier place), the classes (cid) whose pair is similar."""
-    mine = classes.select("cid", F.split("canon", " ").alias("a"))
-    other = classes.select(F.col("place").alias("earlier"), F.split("canon", " ").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    similar = both * (NUM + DEN) >= (F.size("a") + F.size("b")) * NUM
-    return pairs.join(mine, "cid").join(other, "earlier").where(similar).select("cid").distinct()
+    """Of pairs (id, rest, id2, rest2), the classes (c1, c2, id, rest) whose pair is similar.
+    The words of a pair travel with it; the classes stay in their buckets."""
+    names = classes.select("id", "rest", "c1", "c2")
+    other_names = names.select(F.col("id").alias("id2"), F.col("rest").alias("rest2"), F.col("c1").alias("d1"), F.col("c2").alias("d2"))
+    named = pairs.join(names, ["id", "rest"]).join(other_names, ["id2", "rest2"]).select("id", "rest", "c1", "c2", "d1", "d2")
+    mine = classes.select("c1", "c2", F.col("words").alias("a"))
+    other = classes.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), F.col("words").alias("b"))
+    texts = named.join(mine, ["c1", "c2"]).join(other, ["d1", "d2"])
+    a, b = F.array_distinct(F.split("a", " ")), F.array_distinct(F.split("b", " "))
+    similar = F.size(F.array_intersect(a, b)) * (NUM + DEN) >= (F.size(a) + F.size(b)) * NUM
+    return texts.where(similar).select("c1", "c2", "id", "rest").distinct()
+
+
+def _variants(table: DataFrame) -> DataFrame:
+    """(id, rest, id2, rest2): each class and the earliest one of its length that shares
+    most of its rarest tokens."""
+    front = table.select("id", "rest", "n", F.explode(F.slice("front", 1, HEAD)).alias("token"))
+    heads = front.groupBy("token", "n").agg(F.count(F.lit(1)).alias("c"), F.min(_joined(F.col("id"), F.col("rest"))).alias("head"))
+    heads = heads.where("c > 1").select("token", "n", *[c.alias(k + "2") for k, c in _parted(F.col("head")).items()])
+    votes = front.join(heads, ["token", "n"]).where("id2 < id or id2 = id and rest2 < rest")
+    counted = votes.groupBy("id", "rest", "n", "id2", "rest2").agg(F.count(F.lit(1)).alias("votes")).where("votes > 1 or n < 10")
+    best = counted.groupBy("id", "rest").agg(F.max(F.struct("votes", "id2", "rest2")).alias("x"))
+    return best.select("id", "rest", "x.id2", "x.rest2")
 
 
 def duplicate_classes(classes: DataFrame) -> DataFrame:
-    """The classes (cid) that have a similar class with an earlier first place."""
+    """The classes (c1, c2) that have a similar class with an earlier first place."""
+    spark = classes.sparkSession
     table = stage(prefixes(classes, rarity(classes)), "prefixes")
-    # 1. variants of one line: same length, same token at the same position
-    heads = table.groupBy("token", "n", "i").agg(F.count(F.lit(1)).alias("c"), F.min("place").alias("earlier")).where("c > 1").drop("c")
-    votes = table.join(heads, ["token", "n", "i"]).where("earlier < place").groupBy("cid", "earlier").agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.groupBy("cid").agg(F.max(F.struct("votes", "earlier")).alias("x"))
-    settled = stage(_verified(best.select("cid", F.col("x.earlier").alias("earlier")), classes), "settled")
+    release(spark)
+    # 1. variants of one line
+    best = stage(_variants(table), "variants")
+    release(spark)
+    settled = stage(_verified(best, classes), "settled")
+    release(spark)
     # 2. every other class against all earlier ones that share a prefix token
-    a = table.join(settled, "cid", "left_anti").select("token", "i", "n", "cid", "place").alias("a")
-    b = table.select("token", "i", "n", "place").alias("b")
-    n, m = F.col("a.n"), F.col("b.n")
-    close = (
-        (F.col("a.token") == F.col("b.token")) & (F.col("b.place") < F.col("a.place"))
-        & (m * DEN >= n * NUM) & (n * DEN >= m * NUM)
-        & (F.least(n - F.col("a.i"), m - F.col("b.i")) + 1 >= _needed(n, m))
-    )
-    pairs = a.join(b, close).select("cid", F.col("b.place").alias("earlier")).distinct()
-    return settled.unionByName(_verified(pairs, classes))
+    parts = []
+    for part in range(SLICES):
+        own = _tokens(table).where(F.pmod("token", F.lit(SLICES)) == part)
+        a = own.join(settled.select("id", "rest"), ["id", "rest"], "left_anti").alias("a")
+        b = own.alias("b")
+        n, m = F.col("a.n"), F.col("b.n")
+        # The overlap that similar sets need is t / (1 + t) * (n + m).
+        close = (
+            (F.col("a.token") == F.col("b.token"))
+            & ((F.col("b.id") < F.col("a.id")) | ((F.col("b.id") == F.col("a.id")) & (F.col("b.rest") < F.col("a.rest"))))
+            & (m * DEN >= n * NUM) & (n * DEN >= m * NUM)
+            & ((F.least(n - F.col("a.i"), m - F.col("b.i")) + 1) * (NUM + DEN) >= (n + m) * NUM)
+        )
+        pairs = a.join(b, close).select("a.id", "a.rest", F.col("b.id").alias("id2"), F.col("b.rest").alias("rest2")).distinct()
+        parts.append(stage(pairs, "candidates"))
+        release(spark)
+    able = stage(_able(reduce(DataFrame.unionByName, parts).distinct(), table), "able")
+    for done in (table, best, *parts):
+        unstage(done)
+    release(spark)
+    rest = stage(_verified(able, classes), "rest")
+    release(spark)
+    return settled.unionByName(rest).select("c1", "c2")
 
 
 def removed_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(id, th, gone): per document with lines to remove, their numbers from 0."""
     found = lines(docs, text, doc_id)
-    classes = stage(found.groupBy("cid", "canon").agg(F.min("place").alias("place")), "line-classes")
+    classes = stage_bucketed(line_classes(found), "line-classes", ["c1", "c2"])
+    release(docs.sparkSession)
     doubled = duplicate_classes(classes).withColumn("doubled", F.lit(True))
-    firsts = classes.select("cid", F.col("place").alias("first")).join(doubled, "cid", "left")
-    places = found.select("id", "th", "line", "cid", "place")
-    gone = places.join(firsts, "cid").where("doubled or place > first")
-    return gone.groupBy("id", "th").agg(F.collect_set("line").alias("gone"))
+    firsts = classes.select("c1", "c2", _joined(F.col("id"), F.col("rest")).alias("first")).join(doubled, ["c1", "c2"], "left")
+    gone = found.select("id", "th", "line", "c1", "c2", "place").join(firsts, ["c1", "c2"]).where("doubled or place > first")
+    out = stage(gone.groupBy("id", "th").agg(F.collect_set("line").alias("gone")), "gone")
+    unstage(classes)
+    release(docs.sparkSession)
+    return out
 
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

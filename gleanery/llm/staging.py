@@ -54,7 +54,7 @@ def stage_bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, *keys).saveAsTable(table)
     out = spark.table(table)
-    out._staged = path
+    out._staged, out._table = path, table
     return out
 
 
@@ -69,6 +69,8 @@ def release(spark: SparkSession) -> None:
 
 def unstage(df: DataFrame) -> None:
     """Delete a staged table that nothing will read again."""
+    if table := getattr(df, "_table", None):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     _delete(df.sparkSession, df._staged)
 
 
