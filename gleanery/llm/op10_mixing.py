@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lookup import attach
 from .staging import stage
 from .words import word_count
 
@@ -25,9 +26,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 SEED = 20
-#: A source table of up to this many rows is broadcast; above it the join is salted.
-BROADCAST_SOURCES = 100_000
-SALTS = 32
 
 
 def coin(doc_id: Column, seed: int = SEED) -> Column:
@@ -88,21 +86,12 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     return ranked.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def with_targets(docs: DataFrame, table: DataFrame, source: str, doc_id: str) -> DataFrame:
-    """Null-safe lookup of a document's source. Small source tables (their size is
-    counted) are broadcast; larger ones are joined on source and salt, so that a hot
-    source is spread over ``SALTS`` tasks."""
-    key = F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))
-    right = table.select(
-        F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("__mix_key"),
-        F.col("source_size").alias("__mix_size"), F.col("target").alias("__mix_target"),
-    )
-    left = docs.withColumn("__mix_key", key)
-    if right.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        return left.join(F.broadcast(right), "__mix_key", "left").drop("__mix_key")
-    left = left.withColumn("__mix_salt", F.pmod(F.xxhash64(doc_id), F.lit(SALTS)).cast("int"))
-    right = right.withColumn("__mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, ["__mix_key", "__mix_salt"], "left").drop("__mix_key", "__mix_salt")
+def with_targets(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Null-safe lookup of (row, source, doc_id) in the targets: adds source_size and target."""
+    def key(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit("s"), F.col(c)), F.lit("n")).alias("key")
+
+    return attach(rows.select("row", "doc_id", key("source")), table.select(key("source"), "source_size", "target"), ["key"], F.col("doc_id"))
 
 
 def copies(doc_id: Column, source_size: Column, target: Column, seed: int = SEED) -> Column:
@@ -118,21 +107,20 @@ def plan_mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id
         "sized",
     )
     table = targets(sized.select("source", "size"), weights, share, most)
-    found = with_targets(sized, table, "source", "doc_id")
+    found = with_targets(sized.select(F.struct("size").alias("row"), "source", "doc_id"), table)
     return found.select(
-        "doc_id", "size", F.col("__mix_size").alias("source_size"), F.col("__mix_target").alias("target"),
-        copies(F.col("doc_id"), F.col("__mix_size"), F.col("__mix_target"), seed).alias("copies"),
-    )
+        "doc_id", "row.size", "source_size", "target", copies(F.col("doc_id"), F.col("source_size"), F.col("target"), seed).alias("copies")
+    )
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
         weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The mixed corpus: every row of ``docs`` repeated as often as it was planned."""
-    sized = stage(docs.select(F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")), "sized")
-    table = targets(sized, weights, share, most)
-    found = with_targets(docs, table, source, doc_id)
-    n = copies(F.col(doc_id), F.col("__mix_size"), F.col("__mix_target"), seed)
-    return found.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select(*docs.columns)
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.col(source).cast("string").alias("source"), F.col(doc_id).alias("doc_id"))
+    sized = stage(named.select("source", word_count(F.col("row").getField(text)).alias("size")), "sized")
+    found = with_targets(named, targets(sized, weights, share, most))
+    n = copies(F.col("doc_id"), F.col("source_size"), F.col("target"), seed)
+    return found.select("row", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select("row.*")
 
 
 def query(spark, sf_dir):

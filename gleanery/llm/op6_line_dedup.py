@@ -210,22 +210,27 @@ def removed_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     return out
 
 
+def deduped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(row, lines, removed): each row of ``docs`` as a struct, its text without repeated
+    lines, and how many lines it had and lost. Nothing can clash with names inside the row."""
+    gone = removed_lines(docs, text, doc_id)
+    left = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("long").alias("key"), F.xxhash64(F.col(text).cast("string")).alias("hash"))
+    joined = left.join(gone, F.col("key").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")), "left")
+    own = F.col("row").getField(text)
+    raw = F.split(own.cast("string"), "\n")
+    kept = F.array_join(F.filter(raw, lambda line, i: ~F.array_contains("gone", i)), "\n")
+    new = F.col("row").withField(text, F.when(F.col("gone").isNull(), own.cast("string")).otherwise(kept))
+    return joined.select(
+        new.alias("row"), F.when(own.isNull(), 0).otherwise(F.size(raw)).cast("long").alias("lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("removed"),
+    )
+
+
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with repeated lines removed from ``text``, plus __lines and __removed (counts)."""
-    gone = removed_lines(docs, text, doc_id).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone"))
-    left = docs.withColumn("__key", F.col(doc_id).cast("long")).withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
-    joined = left.join(gone, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")), "left")
-    raw = F.split(F.col(text).cast("string"), "\n")
-    kept = F.filter(raw, lambda line, i: ~F.array_contains("__gone", i))
-    new = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    counted = joined.withColumn("__lines", F.coalesce(F.size(raw), F.lit(0)).cast("long")).withColumn(
-        "__removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
-    )
-    return counted.withColumn("__lines", F.when(F.col(text).isNull(), 0).otherwise(F.col("__lines"))).withColumn(
-        "__removed", F.when(F.col("__gone").isNull(), 0).otherwise(F.col("__removed"))
-    ).withColumn(text, new).select(*docs.columns, "__lines", "__removed")
+    """``docs`` with repeated lines removed from ``text``."""
+    return deduped(docs, text, doc_id).select("row.*")
 
 
 def query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return dedup(docs).select("doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"))
+    return deduped(docs).select("row.doc_id", "row.text", F.col("lines").alias("n_lines"), F.col("removed").alias("n_removed"))

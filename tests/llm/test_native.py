@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.llm import op3_exact_dedup, op6_line_dedup, op10_mixing
+from gleanery.llm import lookup, op3_exact_dedup, op6_line_dedup, op10_mixing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -27,7 +27,7 @@ KINDS = "doc_id long, text string, source string"
 @pytest.fixture
 def odd(spark):
     # names that operators might use inside, and a column of another type under a common name
-    return spark.createDataFrame(ODD, KINDS).withColumns({c: F.lit("own") for c in ("size", "key", "rank", "id", "__copy", "n", "place")})
+    return spark.createDataFrame(ODD, KINDS).withColumns({c: F.lit("own") for c in ("size", "key", "rank", "id", "row", "n", "place", "target")})
 
 
 def keep_of(rows):
@@ -80,7 +80,7 @@ def test_salted_lookup_is_the_same(odd, monkeypatch):
         return sorted(map(str, op10_mixing.plan_mix(odd).collect()))
 
     broadcast = plan()
-    monkeypatch.setattr(op10_mixing, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
     assert plan() == broadcast
 
 
@@ -118,7 +118,7 @@ def test_line_dedup_against_brute_force(spark, sf_dir):
 
 def test_line_dedup_of_odd_rows(odd):
     out = op6_line_dedup.dedup(odd)
-    assert out.columns == [*odd.columns, "__lines", "__removed"]
+    assert out.columns == odd.columns
     got = {(r["doc_id"], i): r["text"] for i, r in enumerate(out.orderBy("doc_id", "text").collect())}
     unique = {i: t for i, t, _ in ODD}
     want = brute_lines(unique.items())
@@ -128,8 +128,8 @@ def test_line_dedup_of_odd_rows(odd):
 def test_variants_of_one_line_fall_to_the_first(spark):
     words = [f"w{k}" for k in range(40)]
     rows = [(i, " ".join([*words[: i % 40], f"new{i}", *words[i % 40 + 1 :]])) for i in range(300)]
-    got = op6_line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).where("__removed = 0").collect()
-    assert [r["doc_id"] for r in got] == [0]
+    got = op6_line_dedup.deduped(spark.createDataFrame(rows, "doc_id long, text string")).where("removed = 0").collect()
+    assert [r["row"]["doc_id"] for r in got] == [0]
 
 
 @pytest.mark.parametrize("run", [op3_exact_dedup.classes, op10_mixing.plan_mix, op10_mixing.mix, op6_line_dedup.dedup])
