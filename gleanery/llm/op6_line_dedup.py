@@ -163,7 +163,9 @@ def _variants(table: DataFrame) -> DataFrame:
 def duplicate_classes(classes: DataFrame) -> DataFrame:
     """The classes (c1, c2) that have a similar class with an earlier first place."""
     spark = classes.sparkSession
-    table = stage(prefixes(classes, rarity(classes)), "prefixes")
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fronts = prefixes(classes, rarity(classes)).repartition(n_parts, "id", "rest")
+    table = stage_bucketed(fronts, "fronts", ["id", "rest"])
     release(spark)
     # 1. variants of one line
     best = stage(_variants(table), "variants")
@@ -185,14 +187,16 @@ def duplicate_classes(classes: DataFrame) -> DataFrame:
             & ((F.least(n - F.col("a.i"), m - F.col("b.i")) + 1) * (NUM + DEN) >= (n + m) * NUM)
         )
         pairs = a.join(b, close).select("a.id", "a.rest", F.col("b.id").alias("id2"), F.col("b.rest").alias("rest2")).distinct()
-        parts.append(stage(pairs, "candidates"))
+        pairs = stage(pairs, "candidates")
         release(spark)
-    able = stage(_able(reduce(DataFrame.unionByName, parts).distinct(), table), "able")
-    for done in (table, best, *parts):
+        parts.append(stage(_able(pairs, table), "able"))
+        unstage(pairs)
+        release(spark)
+    unstage(table)
+    rest = stage(_verified(reduce(DataFrame.unionByName, parts).distinct(), classes), "rest")
+    for done in (best, *parts):
         unstage(done)
     release(spark)
-    rest = stage(_verified(able, classes), "rest")
-    release(spark)
     return settled.unionByName(rest).select("c1", "c2")
 
 
