@@ -325,6 +325,22 @@ def test_exchange_finds_classes():
     assert len({of[i] for i in range(0, size, 2)}) == 1 and of[0] != of[1]
 
 
+@pytest.mark.parametrize("known", [10, 100])
+def test_words_beyond_the_class_words_get_classes(spark, known):
+    # only the classes of n3 and v3, which are as frequent as each other and no class words, tell the two texts apart
+    texts = [t for i in range(40) for t in (f"the n{i} is", f"to v{i} it") for _ in range(40 if i < 2 else 3)]
+    rows = [(0, t) for t in texts] + [(1, "the n3 is to v3 it"), (2, "the v3 is to n3 it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = op8_brown_lm.score(docs, F.col("doc_id") > 0, class_words=8, classes=6, known=known).where("held_out")
+    right, wrong = (r["score"] for r in out.orderBy("doc_id").collect())
+    assert right > wrong + 1
+
+
+def test_classes_grow_with_the_vocabulary():
+    assert op8_brown_lm.sizes(400) == op8_brown_lm.sizes(50_000) == (1000, 40)
+    assert op8_brown_lm.sizes(800_000) == (2000, 80) and op8_brown_lm.sizes(4_050_000) == (3000, 120)
+
+
 def test_scores_of_odd_rows(odd, empty):
     rows = op8_brown_lm.score(odd, F.coalesce(F.col("doc_id") == 8, F.lit(False))).collect()
     assert len(rows) == len(ODD) and all(math.isfinite(r["score"]) for r in rows)
