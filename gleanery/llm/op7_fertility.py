@@ -4,14 +4,18 @@ A public vocabulary with byte fallback cuts every whole text. Three measures com
 characters a token, the share of byte-fallback tokens, and the entropy of the tokens as a
 share of what as many tokens could have at most. Per language and size class, quartiles
 over all documents give rejection bands: a text whose measure lies further outside the
-quartiles than ``FENCES`` allow is rejected.
+quartiles than ``FENCES`` allow is rejected. Groups of fewer than ``LEAST`` documents take
+the quartiles of their language's distances from the size trend, languages of fewer than
+that those of all documents. The trend is the median of each size class over all documents;
+distances are in interquartile ranges of the size class, as short texts vary more.
 
 Base rules come first: too few words, or too many words in repeated 5-word windows.
 
 Defined edge cases
 * null text: no words, base_failed
 * null language: a language of its own
-* groups of fewer than ``LEAST`` documents reject nothing by band
+* a size class of fewer than ``LEAST`` documents has its trend from the line through the two
+  nearest others, or the one there is
 * ties and repeated rows are judged alike; empty table: empty result
 * other columns are ignored
 """
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocab
@@ -123,14 +127,51 @@ def with_size_class(measured: DataFrame) -> DataFrame:
     return measured.withColumn("size_class", F.floor(F.log2(F.col("n_tokens") + 1) / 2).cast("int"))
 
 
+def _along(solid: dict[int, float], s: int) -> float:
+    """The value at ``s``, or that of the line through the two nearest."""
+    near = sorted(solid, key=lambda x: (abs(x - s), x))[:2]
+    if s in solid or len(near) < 2:
+        return solid[near[0]] if near else 0.0
+    a, b = near
+    return solid[a] + (solid[b] - solid[a]) * (s - a) / (b - a)
+
+
+def trends(sound: DataFrame) -> dict[str, dict[int, tuple[float, float]]]:
+    """Per measure the median and the spread of each size class; size classes are logarithms, so few."""
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 2000).alias(c) for c in MEASURES]
+    rows = sound.groupBy("size_class").agg(F.count(F.lit(1)).alias("n"), *quartiles).collect()
+    out = {}
+    for c in MEASURES:
+        mid = {r["size_class"]: r[c][1] for r in rows if r["n"] >= LEAST}
+        spread = {r["size_class"]: max(r[c][2] - r[c][0], 1e-3) for r in rows if r["n"] >= LEAST}
+        out[c] = {s: (_along(mid, s), max(_along(spread, s), min(spread.values(), default=1.0))) for s in (r["size_class"] for r in rows)}
+    return out
+
+
 def bands(measured: DataFrame, fences: dict[str, tuple[float, float]] = FENCES) -> DataFrame:
     """lang, size_class and per measure the least and most that pass."""
     sound = measured.where(F.col("n_tokens") > 0)
-    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 2000).alias(c) for c in MEASURES]
-    out = sound.groupBy("lang", "size_class").agg(F.count(F.lit(1)).alias("n"), *quartiles).where(F.col("n") >= LEAST)
+    known = trends(sound)
+
+    def at(c: str, i: int) -> Column:
+        pairs = [F.lit(x) for s, v in (known[c] or {0: (0.0, 1.0)}).items() for x in (s, v[i])]
+        return F.element_at(F.create_map(*pairs), F.col("size_class"))
+
+    trend, spread = ({c: at(c, i) for c in MEASURES} for i in (0, 1))
+
+    def quartiles(name: str) -> list[Column]:
+        return [F.percentile_approx(c, [0.25, 0.5, 0.75], 2000).alias(f"{c}{name}") for c in MEASURES]
+
+    n = F.count(F.lit(1))
+    own = sound.groupBy("lang", "size_class").agg(n.alias("n"), *quartiles(""))
+    off = sound.withColumns({c: (F.col(c) - trend[c]) / spread[c] for c in MEASURES})
+    by_lang = off.groupBy("lang").agg(n.alias("lang_n"), *quartiles("_lang")).where(F.col("lang_n") >= LEAST)
+    out = own.join(by_lang, "lang", "left").crossJoin(F.broadcast(off.agg(*quartiles("_all"))))
     limits = []
     for c in MEASURES:
-        low, mid, high = (F.element_at(c, i) for i in (1, 2, 3))
+        low, mid, high = (
+            F.when(F.col("n") >= LEAST, F.element_at(c, i)).otherwise(trend[c] + spread[c] * F.element_at(F.coalesce(f"{c}_lang", f"{c}_all"), i)) for i in (1, 2, 3)
+        )
         below, above = (F.greatest(F.lit(k) * (high - low), F.lit(SLACK) * mid, F.lit(0.02)) for k in fences[c])
         limits += [(low - below).alias(f"{c}_least"), (high + above).alias(f"{c}_most")]
     return out.select("lang", "size_class", *limits)

@@ -283,6 +283,16 @@ def test_fertility_keeps_clean_documents(spark, sf_dir):
     assert np.mean([r["kept"] for r in rows]) > 0.98
 
 
+def test_fertility_bands_of_small_groups(spark, docs):
+    # a language of two documents and a size class of one
+    plain = " ".join(r["text"] for r in docs.where("lang = 'en' and n_chars > 300").orderBy("doc_id").limit(3).collect()).split()
+    bytes_only = " ".join(chr(0x13000 + i % 900) * 3 + chr(0x13000 + 7 * i % 900) for i in range(150))
+    rows = [(-1, " ".join(plain[:150]), "xx"), (-2, bytes_only, "xx"), (-3, bytes_only * 60, "en")]
+    table = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in op7_fertility.judge(table).where("doc_id < 0").collect()}
+    assert got[-1] == (False, True) and got[-2] == (False, False) and not got[-3][1]
+
+
 def test_fertility_of_odd_rows(odd):
     rows = op7_fertility.judge(odd).collect()
     assert len(rows) == len(ODD) and all(not r["kept"] for r in rows if r["n_words"] < 10)
