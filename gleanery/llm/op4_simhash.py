@@ -5,8 +5,9 @@ Two fingerprints within 4 bits agree to within 2 bits in one of their 32-bit hal
 the Hamming balls of radius 1 around those halves share a value: each fingerprint is
 filed under the 33 values of each ball (66 rows) and looks its values up in that table.
 
-* A value with up to ``SMALL`` fingerprints: its pairs are verified over all 64 bits, at
-  most ``SMALL`` / 2 a row.
+* A value with up to ``SMALL`` fingerprints: its pairs are verified over all 64 bits. A
+  pair shares up to 66 values; only the first of them that the join can name from the two
+  fingerprints alone makes a link, so each link leaves the join once.
 * A value with more: its fingerprints are filed under every 64-bit value within 2 bits of
   them (2,081 rows each). Those under one value lie within 4 bits of each other, and any
   two within 4 bits share such a value; a link to the least of them joins them all. So a
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -101,6 +102,20 @@ def _midpoints(prints: DataFrame) -> DataFrame:
     return prints.select(F.explode(F.transform(table, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"), "fp")
 
 
+def _first_shared(u: Column, v: Column) -> Column:
+    """The one value at which a pair within 4 bits is linked: of the radius-1 balls around two
+    32-bit values at most 2 bits apart, the middle on the way over the lowest differing bit."""
+
+    def middle(a: Column, b: Column) -> Column:
+        apart = a.bitwiseXOR(b)
+        lowest = apart.bitwiseAND(-apart)
+        return F.least(a.bitwiseXOR(lowest), b.bitwiseXOR(lowest))
+
+    high = F.shiftrightunsigned(u, 32), F.shiftrightunsigned(v, 32)
+    low = u.bitwiseAND(F.lit(_LOW)), v.bitwiseAND(F.lit(_LOW))
+    return F.when(F.bit_count(high[0].bitwiseXOR(high[1])) <= 2, middle(*high)).otherwise(middle(*low) + F.lit(1 << 32))
+
+
 def links(prints: DataFrame, small: int = SMALL) -> DataFrame:
     """Pairs (u, v) of distinct fingerprints within 4 bits that connect all that are."""
     # Rows are distinct fingerprints, moved once; values that nothing shares end here.
@@ -109,12 +124,14 @@ def links(prints: DataFrame, small: int = SMALL) -> DataFrame:
     release(prints.sparkSession)
     few = members.where(F.col("n") <= small)
     a, b = few.select("key", F.col("fp").alias("u")), few.select("key", F.col("fp").alias("v"))
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= BITS
-    direct = a.join(b, "key").where((F.col("u") > F.col("v")) & near).select("u", "v")
+    u, v = F.col("u"), F.col("v")
+    # Where the value named is a dense one, both fingerprints are among the members below.
+    near = (u > v) & (F.bit_count(u.bitwiseXOR(v)) <= BITS) & (a["key"] == _first_shared(u, v))
+    direct = a.join(b, (a["key"] == b["key"]) & near).select("u", "v")
     points = _midpoints(members.where(F.col("n") > small).select("fp").distinct())
     least = points.groupBy("point").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     starred = points.join(least, "point").where("fp != v").select(F.col("fp").alias("u"), "v")
-    return direct.unionByName(starred).distinct()
+    return direct.unionByName(starred)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, small: int = SMALL) -> DataFrame:
