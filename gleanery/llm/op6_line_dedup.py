@@ -1,20 +1,22 @@
 """Line dedup as an exact set-similarity join, with built-in functions only.
 
 A line's tokens are its distinct words. A line goes if an earlier line, in the order of
-(doc_id, line number), kept or not, has a Jaccard similarity of 0.8 or more with it.
+(doc_id, text hash, line number), kept or not, has a Jaccard similarity of 0.8 or more with it.
 
-1. Equal lines are one class, known by a 128-bit digest (c1, c2) and its first place. The
-   classes are bucketed by digest, so that later joins move pairs, not the corpus.
+1. Equal lines are one class; only its first place is looked at further. A document carries
+   one byte a line (a mask) of its first places, and is staged once, bucketed by document.
+   Every later step reads its words there, so that texts are shuffled once in all.
 2. Rarity: tokens are counted in ``BUCKETS`` hashed buckets; a token's level is the
    logarithm of its bucket's count. Tokens are ordered by (level, hash), rarest first.
-3. Prefix filter: similar sets share one of their first n - ceil(0.8 n) + 1 tokens.
-   Length and positional filters sit in the join condition; of the pairs it leaves, those
-   whose prefixes share too few tokens go before any text is moved.
-4. Groups of variants of one line are settled first, each class against the earliest
-   class of its length that shares most of its ``HEAD`` rarest tokens: rows in proportion
-   to the classes. Only classes not settled by that probe the whole prefix table, in
-   ``SLICES`` slices of tokens to bound the shuffle files, so no pair of two settled
-   classes is ever made.
+3. Prefix filter: similar sets share one of their first n - ceil(0.8 n) + 1 tokens, that of
+   the smaller set among its first n - ceil(8/9 n) + 1. Length and positional filters sit in
+   the join condition, and so does a bound from 128 parity bits of each set: sets differ by
+   at least as many tokens as their bits do, and similar ones by at most (n + m) / 9.
+4. Variants of one line are settled first: in the group of each of its ``HEAD`` rarest tokens
+   a line meets the group's first line and the two lines before it. Groups of frequent
+   tokens are split by a salt, so rows are in proportion to the lines. Lines that have no
+   similar line there probe all the prefixes, in ``SLICES`` slices of tokens; so pairs of two
+   settled lines are never made.
 5. Jaccard is verified on the words themselves.
 
 Defined edge cases
@@ -22,6 +24,8 @@ Defined edge cases
 * lines without words always stay
 * null ids come last in the order; rows that repeat an id and text share its places, so
   their lines stand or fall together
+* a text of any number of lines costs time in proportion to it: line masks are looked up by
+  position; a line of any length is one set
 * empty table: empty result; other columns, whatever their names, are passed through
 """
 
@@ -29,7 +33,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .staging import release, stage, stage_bucketed, unstage
@@ -38,48 +42,73 @@ from .words import SPACE
 #: Similarity as a fraction, 4 / 5.
 NUM, DEN = 4, 5
 BUCKETS = 1 << 20
-SLICES = 4
+SLICES = 2
 HEAD = 6
+#: Groups of tokens this frequent, as a power of two, are split where variants are settled.
+GROUP_BITS = 12
 _GROUP = 1 << 10
 _HASH_BITS = 56
 _NO_ID = (1 << 63) - 1
+_HALF = 40  # the token bit that says in which half of the parity bits a token counts
+_PLACE = ["id", "th", "line"]
+_DOC = ["id", "th"]
 
 
-_ID = 1 << 61
+def _keys(docs: DataFrame, text: str, doc_id: str) -> tuple[Column, Column]:
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("th")
 
 
-def _place(doc_id: Column, text_hash: Column, line: Column) -> Column:
-    """One number in the order of (id, text, line); 30 bits of hash tell apart texts that share an id."""
-    rest = F.shiftleft(text_hash.bitwiseAND(F.lit((1 << 30) - 1)), 31) + line
-    return _joined(F.coalesce(doc_id, F.lit(_NO_ID)), rest)
+def _lines(texts: DataFrame) -> DataFrame:
+    """The rows with ``text`` split: line (from 0) and raw, of the lines with words."""
+    others = [c for c in texts.columns if c != "text"]
+    return texts.select(*others, F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.col("raw").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def _joined(id_: Column, rest: Column) -> Column:
-    return (id_.cast("decimal(20,0)") * F.lit(_ID).cast("decimal(19,0)") + rest.cast("decimal(19,0)")).cast("decimal(38,0)")
+def mask_of(numbers: Column) -> Column:
+    """A sorted array of distinct line numbers as text: "1" at these places, "0" between."""
+    gap = F.transform(numbers, lambda n, i: F.concat(F.repeat(F.lit("0"), F.when(i > 0, n - F.get(numbers, i - 1) - 1).otherwise(n)), F.lit("1")))
+    return F.array_join(gap, "")
 
 
-def _parted(place: Column) -> dict[str, Column]:
-    """A place as two longs in the same order, which joins compare faster."""
-    id_ = F.call_function("div", place, F.lit(_ID).cast("decimal(19,0)"))
-    return {"id": id_, "rest": (place - id_.cast("decimal(20,0)") * F.lit(_ID).cast("decimal(19,0)")).cast("long")}
+def _marked(mask: Column, line: Column) -> Column:
+    """Whether a line is marked in a mask (binary); at once, wherever the line is."""
+    return F.substring(mask, line + 1, F.lit(1)) == F.lit(b"1")
 
 
-def lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(id, th, line, raw, c1, c2, place) of every line with words."""
-    slim = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    split = slim.where("text is not null").select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    return split.where(F.col("raw").rlike(r"[^\x20\x09-\x0D]")).withColumns({
-        "c1": F.xxhash64("raw"), "c2": F.xxhash64(F.lit(1), "raw"), "place": _place(F.col("id"), F.col("th"), F.col("line")),
-    })
+def _masks(places: DataFrame, name: str) -> DataFrame:
+    """(id, th, ``name``): the line numbers of each document's places as a mask, no places: no row."""
+    return places.groupBy(*_DOC).agg(mask_of(F.array_sort(F.collect_set("line"))).cast("binary").alias(name))
 
 
-def line_classes(found: DataFrame) -> DataFrame:
-    """(c1, c2, id, rest, words): distinct lines, their first place and words, one space between two."""
-    classes = found.groupBy("c1", "c2").agg(F.min("place").alias("place"), F.first("raw").alias("raw"))
-    trimmed = F.btrim("raw", F.lit(" \t\n\v\f\r"))
-    # Most lines are written that way already.
-    words = F.when(F.col("raw").rlike(r"[\x09-\x0D]|^ | $|  "), F.regexp_replace(trimmed, SPACE + "+", " ")).otherwise(F.col("raw"))
-    return classes.select("c1", "c2", *[c.alias(k) for k, c in _parted(F.col("place")).items()], words.alias("words"))
+def first_places(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(id, th, line): the first place of every distinct line with words."""
+    id_, th = _keys(docs, text, doc_id)
+    found = _lines(docs.select(id_, th, F.col(text).cast("string").alias("text")).where("text is not null"))
+    least = found.groupBy(F.xxhash64("raw").alias("c1"), F.xxhash64(F.lit(1), "raw").alias("c2")).agg(F.min(F.struct(*_PLACE)).alias("first"))
+    return least.select("first.*")
+
+
+def staged_documents(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(row, id, th, firsts) bucketed by document: each row as a struct, and the mask of the
+    lines that are the first of their class."""
+    id_, th = _keys(docs, text, doc_id)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), id_, th)
+    return stage_bucketed(rows.join(_masks(first_places(docs, text, doc_id), "firsts"), _DOC, "left"), "line-documents", _DOC)
+
+
+def _words(raw: Column) -> Column:
+    """A line's words with one space between two; most lines are written that way already."""
+    trimmed = F.btrim(raw, F.lit(" \t\n\v\f\r"))
+    odd = reduce(lambda a, b: a | b, [raw.contains(c) for c in ("  ", "\t", "\r", "\v", "\f")])
+    return F.when(odd, F.regexp_replace(trimmed, SPACE + "+", " ")).otherwise(F.btrim(raw, F.lit(" ")))
+
+
+def class_lines(staged: DataFrame, text: str, keep: Column | None = None, marks: str = "firsts") -> DataFrame:
+    """(id, th, line, words) of the lines marked, one place a class."""
+    own = F.col("row").getField(text).cast("string").alias("text")
+    marked = staged.where(F.col(marks).isNotNull()).select(*_DOC, marks, own)
+    found = _lines(marked).where(_marked(F.col(marks), F.col("line")))
+    return found.select(*_PLACE, _words(F.col("raw")).alias("words"))
 
 
 def _hash(word: Column) -> Column:
@@ -100,134 +129,128 @@ def rarity(classes: DataFrame) -> bytes:
     return "".join(r["s"] for r in sorted(rows, key=lambda r: r["g"])).encode("ascii")
 
 
-def prefixes(classes: DataFrame, levels: bytes) -> DataFrame:
-    """(id, rest, n, front): the rarest tokens of each class, rarest first."""
+def fronts(classes: DataFrame, levels: bytes) -> DataFrame:
+    """(uid, id, th, line, n, front, s, e): of each class its rarest tokens, rarest first; s has
+    the parity bits of all its tokens, e those of the half of tokens with bit ``_HALF`` set."""
     table = F.lit(levels)
 
     def token(h: Column) -> Column:
         level = F.ascii(F.substring(table, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int"), F.lit(1)).cast("string")).cast("long")
         return F.shiftleft(level, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
+    def shift(bit: Column, by: Column) -> Column:
+        return F.call_function("shiftleft", bit, by.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+
+    one = F.lit(1).cast("long")
     distinct = F.array_distinct(F.transform(F.split("words", " "), _hash))
-    ordered = classes.select("id", "rest", F.sort_array(F.transform(distinct, token)).alias("ordered"))
+    ordered = classes.select(*_PLACE, F.sort_array(F.transform(distinct, token)).alias("ordered"))
     n = F.size("ordered")
     length = n - F.ceil(n * F.lit(NUM) / F.lit(DEN)).cast("int") + 1
-    return ordered.select("id", "rest", n.alias("n"), F.slice("ordered", F.lit(1), length).alias("front"))
-
-
-def _tokens(fronts: DataFrame) -> DataFrame:
-    """(token, i, n, id, rest), i counted from 1."""
-    return fronts.select("id", "rest", "n", F.posexplode("front").alias("i0", "token")).select("token", (F.col("i0") + 1).alias("i"), "n", "id", "rest")
-
+    s = F.aggregate("ordered", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(shift(one, t)))
+    e = F.aggregate("ordered", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(shift(F.shiftrightunsigned(t, _HALF).bitwiseAND(one), t)))
+    return ordered.select(
+        F.monotonically_increasing_id().alias("uid"), *_PLACE, n.alias("n"), F.slice("ordered", F.lit(1), length).alias("front"), s.alias("s"), e.alias("e")
+    )
 
-def _able(pairs: DataFrame, fronts: DataFrame) -> DataFrame:
-    """Of pairs (id, rest, id2, rest2), those that can reach the overlap that similar sets need.
 
-    Tokens up to the smaller of the two last ones of the fronts are all in both fronts, so
-    the overlap is at most what the fronts share and the rest of that set.
-    """
-    one = fronts.select("id", "rest", F.col("n").alias("n1"), F.col("front").alias("f1"))
-    two = fronts.select(F.col("id").alias("id2"), F.col("rest").alias("rest2"), F.col("n").alias("n2"), F.col("front").alias("f2"))
-    both = pairs.join(one, ["id", "rest"]).join(two, ["id2", "rest2"])
-    beyond = F.when(F.element_at("f1", -1) <= F.element_at("f2", -1), F.col("n1") - F.size("f1")).otherwise(F.col("n2") - F.size("f2"))
-    most = F.size(F.array_intersect("f1", "f2")) + beyond
-    return both.where(most * (NUM + DEN) >= (F.col("n1") + F.col("n2")) * NUM).select("id", "rest", "id2", "rest2")
+def _alike(n: Column, s: Column, e: Column, m: Column, s2: Column, e2: Column) -> Column:
+    """Length filter and parity bound: similar sets differ by at most (n + m) / 9 tokens."""
+    both, half = s.bitwiseXOR(s2), e.bitwiseXOR(e2)
+    differ = F.bit_count(half) + F.bit_count(both.bitwiseXOR(half))
+    return (m * DEN >= n * NUM) & (n * DEN >= m * NUM) & (differ * (NUM + DEN) <= (n + m) * (DEN - NUM))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of pairs (id, rest, id2, rest2), the classes (c1, c2, id, rest) whose pair is similar.
-    The words of a pair travel with it; the classes stay in their buckets."""
-    names = classes.select("id", "rest", "c1", "c2")
-    other_names = names.select(F.col("id").alias("id2"), F.col("rest").alias("rest2"), F.col("c1").alias("d1"), F.col("c2").alias("d2"))
-    named = pairs.join(names, ["id", "rest"]).join(other_names, ["id2", "rest2"]).select("id", "rest", "c1", "c2", "d1", "d2")
-    mine = classes.select("c1", "c2", F.col("words").alias("a"))
-    other = classes.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), F.col("words").alias("b"))
-    texts = named.join(mine, ["c1", "c2"]).join(other, ["d1", "d2"])
-    a, b = F.array_distinct(F.split("a", " ")), F.array_distinct(F.split("b", " "))
-    similar = F.size(F.array_intersect(a, b)) * (NUM + DEN) >= (F.size(a) + F.size(b)) * NUM
-    return texts.where(similar).select("c1", "c2", "id", "rest").distinct()
+def _variants(table: DataFrame) -> DataFrame:
+    """(uid, uid2): lines and such earlier ones of their tokens' groups as may be similar."""
+    me = F.struct("id", "uid", "n", "s", "e")
+    head = table.select("id", "uid", "n", "s", "e", F.explode(F.slice("front", 1, HEAD)).alias("token"))
+    bits = F.greatest(F.lit(0), F.shiftrightunsigned("token", _HASH_BITS) / 3 - 11 - GROUP_BITS).cast("int")  # levels count thirds from 33
+    salted = head.withColumn("salt", F.pmod(F.xxhash64("uid"), F.call_function("shiftleft", F.lit(1).cast("long"), bits)))
+    near = Window.partitionBy("token", "salt").orderBy("id", "uid")
+    met = salted.select("id", "uid", "n", "s", "e", F.first(me).over(near).alias("a"), F.lag(me, 1).over(near).alias("b"), F.lag(me, 2).over(near).alias("c"))
+    able = F.filter(
+        F.array("a", "b", "c"),
+        lambda x: x.isNotNull() & (x["uid"] != F.col("uid")) & _alike(F.col("n"), F.col("s"), F.col("e"), x["n"], x["s"], x["e"]),
+    )
+    return met.select("uid", F.explode(able).alias("x")).select("uid", F.col("x.uid").alias("uid2")).distinct()
+
+
+def _verified(pairs: DataFrame, table: DataFrame, staged: DataFrame, text: str) -> DataFrame:
+    """(id, th, line) of the lines whose pair (uid, uid2) is similar, the other one earlier."""
+    ends = pairs.select("uid").unionByName(pairs.select(F.col("uid2").alias("uid"))).distinct()
+    places = stage(table.select("uid", *_PLACE).join(ends.hint("shuffle_hash"), "uid"), "ends")
+    wanted = staged.join(_masks(places, "wanted").hint("shuffle_hash"), _DOC)
+    words = stage(class_lines(wanted, text, marks="wanted").join(places, _PLACE).select("uid", *_PLACE, "words"), "end-words")
+    a = words.select("uid", F.struct(*_PLACE).alias("p"), F.split("words", " ").alias("a"))
+    b = words.select(F.col("uid").alias("uid2"), F.struct(*_PLACE).alias("p2"), F.split("words", " ").alias("b"))
+    x, y = F.array_distinct("a"), F.array_distinct("b")
+    similar = F.size(F.array_intersect(x, y)) * (NUM + DEN) >= (F.size(x) + F.size(y)) * NUM
+    found = pairs.join(a, "uid").join(b, "uid2").where((F.col("p2") < F.col("p")) & similar)
+    out = stage(found.select("p.*").distinct(), "similar")
+    unstage(places)
+    unstage(words)
+    return out
 
 
-def _variants(table: DataFrame) -> DataFrame:
-    """(id, rest, id2, rest2): each class and the earliest one of its length that shares
-    most of its rarest tokens."""
-    front = table.select("id", "rest", "n", F.explode(F.slice("front", 1, HEAD)).alias("token"))
-    heads = front.groupBy("token", "n").agg(F.count(F.lit(1)).alias("c"), F.min(_joined(F.col("id"), F.col("rest"))).alias("head"))
-    heads = heads.where("c > 1").select("token", "n", *[c.alias(k + "2") for k, c in _parted(F.col("head")).items()])
-    votes = front.join(heads, ["token", "n"]).where("id2 < id or id2 = id and rest2 < rest")
-    counted = votes.groupBy("id", "rest", "n", "id2", "rest2").agg(F.count(F.lit(1)).alias("votes")).where("votes > 1 or n < 10")
-    best = counted.groupBy("id", "rest").agg(F.max(F.struct("votes", "id2", "rest2")).alias("x"))
-    return best.select("id", "rest", "x.id2", "x.rest2")
-
-
-def duplicate_classes(classes: DataFrame) -> DataFrame:
-    """The classes (c1, c2) that have a similar class with an earlier first place."""
-    spark = classes.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fronts = prefixes(classes, rarity(classes)).repartition(n_parts, "id", "rest")
-    table = stage_bucketed(fronts, "fronts", ["id", "rest"])
+def similar_lines(staged: DataFrame, text: str) -> DataFrame:
+    """(id, th, line) of the classes that have a similar class with an earlier first place."""
+    spark = staged.sparkSession
+    classes = class_lines(staged, text)
+    table = stage_bucketed(fronts(classes, rarity(classes)), "fronts", _DOC)
     release(spark)
     # 1. variants of one line
-    best = stage(_variants(table), "variants")
+    near = stage(_variants(table), "variants")
     release(spark)
-    settled = stage(_verified(best, classes), "settled")
+    settled = _verified(near, table, staged, text)
+    unstage(near)
     release(spark)
     # 2. every other class against all earlier ones that share a prefix token
+    marks = _masks(settled, "done").hint("shuffle_hash")
+    done = F.when(F.col("done").isNull(), F.lit(False)).otherwise(_marked(F.col("done"), F.col("line")))
+    open_ = table.join(marks, _DOC, "left").select("id", "uid", "n", "front", "s", "e", F.when(done, 0).otherwise(1).alias("open"))
     parts = []
     for part in range(SLICES):
-        own = _tokens(table).where(F.pmod("token", F.lit(SLICES)) == part)
-        a = own.join(settled.select("id", "rest"), ["id", "rest"], "left_anti").alias("a")
-        b = own.alias("b")
+        rows = open_.select("id", "uid", "n", "s", "e", "open", F.posexplode("front").alias("i0", "token")).where(F.pmod("token", F.lit(SLICES)) == part)
+        rows = rows.select("token", "id", "uid", "n", "s", "e", (F.col("i0") * 2 + F.col("open")).alias("io"))
+        a, b = rows.alias("a"), rows.alias("b")
         n, m = F.col("a.n"), F.col("b.n")
-        # The overlap that similar sets need is t / (1 + t) * (n + m).
+        i, j = F.expr("shiftright(a.io, 1) + 1"), F.expr("shiftright(b.io, 1) + 1")
+        least = F.ceil(F.least(n, m) * F.lit(2 * NUM) / F.lit(NUM + DEN)).cast("int")  # the overlap that sets of the smaller size need
         close = (
-            (F.col("a.token") == F.col("b.token"))
-            & ((F.col("b.id") < F.col("a.id")) | ((F.col("b.id") == F.col("a.id")) & (F.col("b.rest") < F.col("a.rest"))))
-            & (m * DEN >= n * NUM) & (n * DEN >= m * NUM)
-            & ((F.least(n - F.col("a.i"), m - F.col("b.i")) + 1) * (NUM + DEN) >= (n + m) * NUM)
+            # Whether a is open is asked in one term with b, so that both sides read one exchange.
+            (F.col("a.token") == F.col("b.token")) & (F.expr("(a.io & 1) + (b.io & 0)") == 1)
+            & (F.col("b.id") <= F.col("a.id")) & (F.col("a.uid") != F.col("b.uid"))
+            & ((F.least(n - i, m - j) + 1) * (NUM + DEN) >= (n + m) * NUM)
+            & (F.when(n <= m, i).otherwise(j) <= F.least(n, m) - least + 1)
+            & _alike(n, F.col("a.s"), F.col("a.e"), m, F.col("b.s"), F.col("b.e"))
         )
-        pairs = a.join(b, close).select("a.id", "a.rest", F.col("b.id").alias("id2"), F.col("b.rest").alias("rest2")).distinct()
-        pairs = stage(pairs, "candidates")
-        release(spark)
-        parts.append(stage(_able(pairs, table), "able"))
-        unstage(pairs)
+        parts.append(stage(a.join(b, close).select("a.uid", F.col("b.uid").alias("uid2")), "candidates"))
         release(spark)
-    unstage(table)
-    rest = stage(_verified(reduce(DataFrame.unionByName, parts).distinct(), classes), "rest")
-    for done in (best, *parts):
-        unstage(done)
+    rest = _verified(reduce(DataFrame.unionByName, parts).distinct(), table, staged, text)
+    for part in (*parts, table):
+        unstage(part)
     release(spark)
-    return settled.unionByName(rest).select("c1", "c2")
-
-
-def removed_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(id, th, gone): per document with lines to remove, their numbers from 0."""
-    found = lines(docs, text, doc_id)
-    classes = stage_bucketed(line_classes(found), "line-classes", ["c1", "c2"])
-    release(docs.sparkSession)
-    doubled = duplicate_classes(classes).withColumn("doubled", F.lit(True))
-    firsts = classes.select("c1", "c2", _joined(F.col("id"), F.col("rest")).alias("first")).join(doubled, ["c1", "c2"], "left")
-    gone = found.select("id", "th", "line", "c1", "c2", "place").join(firsts, ["c1", "c2"]).where("doubled or place > first")
-    out = stage(gone.groupBy("id", "th").agg(F.collect_set("line").alias("gone")), "gone")
-    unstage(classes)
-    release(docs.sparkSession)
-    return out
+    return settled.unionByName(rest)
 
 
 def deduped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(row, lines, removed): each row of ``docs`` as a struct, its text without repeated
     lines, and how many lines it had and lost. Nothing can clash with names inside the row."""
-    gone = removed_lines(docs, text, doc_id)
-    left = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("long").alias("key"), F.xxhash64(F.col(text).cast("string")).alias("hash"))
-    joined = left.join(gone, F.col("key").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")), "left")
-    own = F.col("row").getField(text)
-    raw = F.split(own.cast("string"), "\n")
-    kept = F.array_join(F.filter(raw, lambda line, i: ~F.array_contains("gone", i)), "\n")
-    new = F.col("row").withField(text, F.when(F.col("gone").isNull(), own.cast("string")).otherwise(kept))
-    return joined.select(
-        new.alias("row"), F.when(own.isNull(), 0).otherwise(F.size(raw)).cast("long").alias("lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("removed"),
-    )
+    staged = staged_documents(docs, text, doc_id)
+    release(docs.sparkSession)
+    doubled = _masks(similar_lines(staged, text), "doubled").hint("shuffle_hash")
+    joined = staged.join(doubled, _DOC, "left")
+    own = F.col("row").getField(text).cast("string")
+    raw = F.split(own, "\n")
+
+    def stays(line: Column, i: Column) -> Column:
+        first = F.coalesce(_marked(F.col("firsts"), i), F.lit(False)) & ~F.coalesce(_marked(F.col("doubled"), i), F.lit(False))
+        return first | ~line.rlike(r"[^\x20\x09-\x0D]")
+
+    kept = joined.select("row", F.filter(raw, stays).alias("kept"), F.size(raw).alias("n"))
+    gone = F.when(own.isNull(), 0).otherwise(F.col("n") - F.size("kept"))
+    new = F.col("row").withField(text, F.when(gone == 0, own).otherwise(F.array_join("kept", "\n")))
+    return kept.select(new.alias("row"), F.when(own.isNull(), 0).otherwise(F.col("n")).cast("long").alias("lines"), gone.cast("long").alias("removed"))
 
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
