@@ -16,6 +16,7 @@ plus the chunk's offset. No task ever holds all pieces of a length.
 
 Defined edge cases
 * null text counts as empty; it packs as the single end id
+* strings of the vocabulary's added tokens in a text are these tokens
 * documents of equal length are told apart by chunk and rank only; repeated rows are
   packed as often as they come
 * empty table: empty result; other columns are ignored
@@ -51,7 +52,7 @@ def cut(n: int, capacity: int) -> list[int]:
 
 
 def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
-    encode = vocab.byte_bpe(path).encode_to_numpy
+    coder = vocab.byte_bpe(path)
     chunk = TaskContext.get().partitionId()
     seen = np.zeros(capacity + 1, np.int64)
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("chunk", pa.int32()), ("rank", pa.int64())])
@@ -66,7 +67,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int)
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids = np.concatenate([encode(text.as_py() or "", disallowed_special=()).astype("<u4", copy=False), end])
+            ids = np.concatenate([vocab.encode_whole(coder, text.as_py() or "").astype("<u4", copy=False), end])
             start = 0
             for i, length in enumerate(cut(len(ids), capacity)):
                 crc = zlib.crc32(ids[start : start + length].tobytes())

@@ -31,18 +31,26 @@ def _byte_of_char() -> dict[str, int]:
 def byte_bpe(path: str):
     """The byte-level BPE in the JSON file at ``path`` as a fast encoder.
 
-    Its merges are listed in the order of the ids they make, so ranks are ids. Strings
-    of special tokens inside a text are ordinary text.
+    Its merges are listed in the order of the ids they make, so ranks are ids. The file's
+    added tokens are matched first wherever a text holds their strings, as its own library
+    does; ``encode_whole`` asks for that.
     """
     import public_tokenizers
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
+        read = json.load(f)
+    vocab, added = read["model"]["vocab"], {t["content"]: t["id"] for t in read["added_tokens"]}
     to_byte = _byte_of_char()
     ranks = {bytes(to_byte[c] for c in token): i for token, i in vocab.items() if all(c in to_byte for c in token)}
-    ranks.pop(b"<|endoftext|>", None)
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for token in added:
+        ranks.pop(token.encode(), None)
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+
+def encode_whole(coder, text: str):
+    """The ids of a text as a numpy array, added tokens included."""
+    return coder.encode_to_numpy(text, allowed_special="all")
 
 
 @lru_cache(maxsize=4)
