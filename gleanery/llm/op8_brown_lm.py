@@ -5,8 +5,8 @@ P(text) = product over tokens of P(class | previous class) * P(token | class).
 Training counts cover all training documents, and every training word gets a class:
 * every token's count, in a table of any size on the shared folder;
 * the most frequent words (``sizes``: their number and that of the classes grow with the
-  vocabulary) are exchanged on the driver over their sparse bigram counts, until no move
-  raises the bigram likelihood;
+  vocabulary) are exchanged on the driver over their sparse bigram counts, until a round
+  raises the bigram likelihood by less than ``ROUND_GAIN``;
 * the other words among the ``KNOWN`` most frequent go where the classes of their neighbours
   are likeliest, by neighbour-class counts combined per task;
 * all rarer words follow in the same way, one row an occurrence, by neighbours that have
@@ -47,7 +47,9 @@ from .staging import release, stage, unstage
 CLASS_WORDS = 1000
 CLASSES = 40
 KNOWN = 50_000
-#: Moves that gain less than so many nats a token don't count, so that rounding can't keep them going.
+#: The exchange has converged when a whole round of moves gains less than so many nats a token.
+#: Single moves that gain less than the second number don't count, so that rounding can't keep them going.
+ROUND_GAIN = 1e-4
 LEAST_GAIN = 1e-9
 END = ""
 _FLUSH = 200_000
@@ -217,7 +219,7 @@ def exchange(bigrams: np.ndarray, movable: int, classes: int, rounds: int | None
 
 
 def exchange_rows(rows: np.ndarray, size: int, movable: int, classes: int, rounds: int | None = None) -> np.ndarray:
-    """``exchange`` of bigrams given as rows (a, b, n); without ``rounds``, until no move gains."""
+    """``exchange`` of bigrams given as rows (a, b, n); without ``rounds``, until it has converged."""
     of = np.concatenate([np.arange(movable) % classes, classes + np.arange(size - movable)])
     k = classes + size - movable
     table = np.zeros((k, k))
@@ -228,7 +230,8 @@ def exchange_rows(rows: np.ndarray, size: int, movable: int, classes: int, round
     apart = rows[~same]
     afters, befores = _split(apart[:, 0], apart[:, 1], apart[:, 2], size), _split(apart[:, 1], apart[:, 0], apart[:, 2], size)
     base, place = _xlogx(table), np.arange(classes)
-    least = LEAST_GAIN * max(1.0, float(table.sum()))
+    total = max(1.0, float(table.sum()))
+    least = LEAST_GAIN * total
 
     def change(c: int, r: np.ndarray, col: np.ndarray, self_n: float) -> None:
         table[c] += r
@@ -238,7 +241,7 @@ def exchange_rows(rows: np.ndarray, size: int, movable: int, classes: int, round
 
     done = 0
     while rounds is None or done < rounds:
-        moved = 0
+        gained = 0.0
         for w in range(movable):
             self_n = selves[w]
             r, c = (np.bincount(of[at], n, k) for at, n in (afters[w], befores[w]))
@@ -255,11 +258,11 @@ def exchange_rows(rows: np.ndarray, size: int, movable: int, classes: int, round
             new = int(gain.argmax())
             if gain[new] <= gain[old] + least:
                 new = old
-            moved += new != old
+            gained += float(gain[new] - gain[old])
             of[w] = new
             change(new, r, c, self_n)
         done += 1
-        if not moved:
+        if gained < ROUND_GAIN * total:
             break
     return of
 

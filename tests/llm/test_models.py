@@ -315,6 +315,59 @@ def test_scores_against_brute_force(docs):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_class_scores_against_brute_force(docs, monkeypatch):
+    seen = {}
+
+    def model(filled, rare, of, lexicon, classes):
+        of_word = {w.decode(): int(of[i]) for w, i in lexicon.index.items()} | {r["w"]: r["class"] for r in rare.collect()}
+        seen.update(of=of_word, other=int(of[len(lexicon.counts)]), end=classes)
+        return original(filled, rare, of, lexicon, classes)
+
+    original = op8_brown_lm.final_model
+    monkeypatch.setattr(op8_brown_lm, "final_model", model)
+    held = op8_brown_lm.remainder(F.col("doc_id"), 5) == 1
+    rows = {r["doc_id"]: r for r in op8_brown_lm.score(docs, held, class_words=50, classes=8, known=300).collect()}
+    texts = {r["doc_id"]: (r["text"] or "").encode().lower().decode().split() for r in docs.collect()}
+    train = [ws for i, ws in texts.items() if not rows[i]["held_out"]]
+    counts = Counter(w for ws in train for w in ws)
+    assert set(counts) <= set(seen["of"])
+
+    def classes(ws):
+        return [seen["end"], *[seen["of"].get(w, seen["other"]) for w in ws], seen["end"]]
+
+    k = seen["end"] + 1
+    table = np.zeros((k, k))
+    for ws in train:
+        for a, b in zip(classes(ws), classes(ws)[1:], strict=False):
+            table[a, b] += 1
+    unigram = (table.sum(0) + 0.5) / (table.sum() + 0.5 * k)
+    tokens, types = np.zeros(k), np.zeros(k)
+    for w, n in counts.items():
+        tokens[seen["of"][w]] += n
+        types[seen["of"][w]] += 1
+    types[seen["other"]] += 1
+    tokens[seen["end"]], types[seen["end"]] = len(train), 1
+    for i, ws in list(texts.items())[:60]:
+        ids, want = classes(ws), 0.0
+        for a, b, n in zip(ids, ids[1:], [counts[w] for w in ws] + [len(train)], strict=False):
+            want += math.log10((table[a, b] + 20 * unigram[b]) / (table[a].sum() + 20)) + math.log10((n + 0.5) / (tokens[b] + 0.5 * types[b]))
+        assert rows[i]["score"] == pytest.approx(want, rel=1e-9)
+
+
+def test_exchange_ends_without_gain():
+    rng = np.random.default_rng(5)
+    bigrams = rng.integers(0, 40, (63, 63)) * (rng.random((63, 63)) < 0.2)
+
+    def likelihood(of):
+        table = np.zeros((of.max() + 1,) * 2)
+        np.add.at(table, (of[:, None], of[None]), bigrams)
+        return sum(op8_brown_lm._xlogx(x).sum() * s for x, s in ((table, 1), (table.sum(0), -1), (table.sum(1), -1)))
+
+    ended = likelihood(op8_brown_lm.exchange(bigrams, 60, 6))
+    assert likelihood(op8_brown_lm.exchange(bigrams, 60, 6, rounds=1)) <= ended <= likelihood(op8_brown_lm.exchange(bigrams, 60, 6, rounds=200))
+    assert likelihood(op8_brown_lm.exchange(bigrams, 60, 6, rounds=200)) - ended < 0.02 * bigrams.sum()
+
+
 def test_emissions_and_transitions_sum_to_one():
     rng = np.random.default_rng(0)
     counts = np.sort(rng.integers(1, 50, 30))[::-1]
