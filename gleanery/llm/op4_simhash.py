@@ -70,13 +70,14 @@ def simhash(text: str | None, size: int = SHINGLE) -> int:
 def _batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.fromiter((simhash(t.as_py(), size) for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], ["doc_id", "fp", "key"])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long), for every row."""
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(lambda it: _batches(it, size), "doc_id long, fp long")
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, key: Column | None = None) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) and ``key`` (text, null if none is given), for every row."""
+    own = F.lit(None) if key is None else key
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), own.cast("string").alias("key"))
+    return slim.mapInArrow(lambda it: _batches(it, size), "doc_id long, fp long, key string")
 
 
 def _signed(x: int) -> int:
@@ -134,9 +135,10 @@ def links(prints: DataFrame, small: int = SMALL) -> DataFrame:
     return direct.unionByName(starred)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, small: int = SMALL) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (least id reachable over links)."""
-    prints = stage(fingerprints(docs, text, doc_id, size), "fingerprints")
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, small: int = SMALL, key: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, fp, component_id (least id reachable over links), root (the
+    least fingerprint reachable, there for components without an id too), key (as given)."""
+    prints = stage(fingerprints(docs, text, doc_id, size, key), "fingerprints")
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes.select("fp"), small))
     rooted = stage(
@@ -144,8 +146,24 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         "rooted",
     )
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = rooted.join(ids, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = rooted.join(ids, "root").select("fp", "component_id", "root")
+    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id", "root", "key")
+
+
+def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each component: that with the least id, null ids last.
+
+    Rows are told apart by id and text together, so rows without an id, and unlike texts under
+    one id, are each judged on their own. Of rows that share both, one is left. Copies are
+    combined before they are shuffled.
+    """
+    parts = [F.coalesce(F.concat(F.lit(mark), F.col(c).cast("string")), F.lit("-")) for mark, c in (("i", doc_id), ("t", text))]
+    key = F.sha2(F.concat(parts[0], F.lit(":"), parts[1]), 256)
+    found = near_duplicates(docs, text, doc_id, size, key=key)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    stays = found.groupBy("root").agg(first.alias("first")).select("first.key")
+    rows = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row")).dropDuplicates(["key"])
+    return rows.join(stays, "key", "left_semi").select("row.*")
 
 
 def query(spark, sf_dir):

@@ -457,14 +457,52 @@ def test_pipeline_stages(spark, sf_dir, docs):
         assert set(after) <= set(before)
         if name == "near_dedup":
             assert max(after.values()) == 1
-            components_ = op4_simhash.near_duplicates(kept, size=corpus_pipeline.SHINGLE).select("component_id").distinct().count()
+            components_ = op4_simhash.near_duplicates(kept, size=corpus_pipeline.SHINGLE).select("root").distinct().count()
             assert len(after) == components_
         kept = out
     assert op1_packing.pack(kept).selectExpr("sum(length)").first()[0] > 0
     clear(spark)
 
 
-def test_pipeline_stages_of_odd_rows(spark, sf_dir, odd):
+def test_pipeline_stages_of_odd_rows(spark, sf_dir, odd, empty):
+    labelled = spark.createDataFrame([], "doc_id long, quality int")
+    kept = odd.where(op2_quality.scorer(op2_quality.train(odd, labelled))(F.col("text")) >= op2_quality.THRESHOLD)
+    assert kept.count() == len(ODD)
+    lines = corpus_pipeline.line_dedup(spark, odd, sf_dir)
+    assert lines.columns == odd.columns
+    # the text of 2 differs from that of 1 by one letter only: 4 of 6 distinct words are shared, so both stay
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in lines.collect()) == sorted((i or 0, t or "") for i, t, *_ in ODD)
+    near = corpus_pipeline.near_dedup(spark, odd, sf_dir)
+    # 1 and 2 are equal in lower case; null, "" and blank texts are one group, of which 4 has the least id
+    assert near.columns == odd.columns and sorted(r["doc_id"] for r in near.collect()) == [1, 4, 6, 7, 8]
+    mixed = Counter(r["doc_id"] for r in corpus_pipeline.mixing(spark, odd, sf_dir).collect())
+    assert max(mixed.values()) <= 4 and {1, 6} <= set(mixed)
+    packed = corpus_pipeline.packing(spark, odd, sf_dir).collect()
+    check_packing(packed, [(i, t) for i, t, *_ in ODD if i != 2], 2048)
     for _, step in corpus_pipeline.STAGES:
-        rows = step(spark, odd, sf_dir).collect()
-        assert isinstance(rows, list)
+        assert step(spark, empty, sf_dir).count() == 0
+
+
+def test_near_dedup_keeps_unlike_rows_of_one_id(spark, sf_dir):
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcde"]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[3]), (3, texts[0]), (None, texts[1]), (5, texts[4]), (5, texts[4])]
+    docs = spark.createDataFrame([(*r, "own") for r in rows], "doc_id long, text string, key string")
+    got = sorted((r["doc_id"] or 0, texts.index(r["text"])) for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect())
+    assert got == [(0, 2), (0, 3), (1, 0), (1, 1), (5, 4)]
+
+
+def test_pipeline_of_planted_documents(spark, sf_dir, docs, tmp_path):
+    """End to end: copies go but for one, what is clean stays, packing is whole."""
+    clean = docs.join(spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1"), "doc_id", "left_semi")
+    copies = clean.limit(5).withColumn("doc_id", F.col("doc_id") + 1_000_000)
+    folder = str(tmp_path)
+    docs.unionByName(copies).write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+    rows = corpus_pipeline.run(spark, folder).collect()
+    ids = {r["doc_id"] for r in rows}
+    assert ids and not ids & {r["doc_id"] for r in copies.collect()}
+    ends = defaultdict(int)
+    for r in sorted(rows, key=lambda r: r["offset"]):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    assert max(ends.values()) <= 2048
