@@ -190,8 +190,8 @@ def _bigram_batches(batches: Iterator[pa.RecordBatch], of: np.ndarray) -> Iterat
 def bigrams_of(codes: DataFrame, of: np.ndarray) -> np.ndarray:
     """Rows (a, b, n) of all bigrams of the one column of codes."""
     pairs = codes.mapInArrow(partial(_bigram_batches, of=of), "a int, b int, n long")
-    rows = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).toPandas()
-    return rows[["a", "b", "n"]].to_numpy(np.int64).reshape(-1, 3)
+    rows = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    return np.column_stack([rows.column(c).to_numpy().astype(np.int64) for c in ("a", "b", "n")])
 
 
 def _table(rows: np.ndarray, size: int) -> np.ndarray:
@@ -253,7 +253,8 @@ def exchange_rows(rows: np.ndarray, size: int, movable: int, classes: int, round
             with_c = _xlogx(table[i, :classes] + c[i, None]) - base[i, :classes]
             gain = with_r.sum(1) + with_c.sum(0) + _xlogx(diagonal + (r + c)[:classes] + self_n) - base_diagonal
             gain -= _xlogx(diagonal + r[:classes]) + _xlogx(diagonal + c[:classes]) - 2 * base_diagonal
-            n_rows, n_cols = table[:classes].sum(1), table[:, :classes].sum(0)
+            # The word is its neighbours' neighbour wherever it goes.
+            n_rows, n_cols = table[:classes].sum(1) + c[:classes], table[:, :classes].sum(0) + r[:classes]
             gain -= _xlogx(n_rows + r.sum() + self_n) - _xlogx(n_rows) + _xlogx(n_cols + c.sum() + self_n) - _xlogx(n_cols)
             new = int(gain.argmax())
             if gain[new] <= gain[old] + least:
