@@ -3,11 +3,13 @@
 Labelled URLs are those that a rule decides. The trees are trained on at most
 ``TRAIN_ROWS`` of them, the first by a hash of the URL (a bounded, documented sample).
 Suffix statistics, the share of allowed URLs by host suffix and by path suffix, cover
-all labelled URLs in ``SUFFIX_BUCKETS`` hashed buckets each.
+all labelled URLs in ``SUFFIX_BUCKETS`` hashed buckets each. A URL that trains gets the
+shares of the other ``FOLDS`` folds, dealt by host, so its own verdict is not among them.
 
 Defined edge cases
 * null urls and urls without ``://``: empty host and path; no rule fits, the model decides
 * no labelled URL: everything without a rule is allowed
+* URLs of any length are read whole; only features of the trained ones reach the driver
 * of rules that fit, the one with the most characters (host and path) wins, then the first given
 * empty table: empty result; other columns are ignored
 """
@@ -36,6 +38,7 @@ RULES = (
 )
 TRAIN_ROWS = 20_000
 SUFFIX_BUCKETS = 512
+FOLDS = 5
 FEATURES = 19
 
 
@@ -82,20 +85,22 @@ def host_suffix(host: Column) -> Column:
 def path_suffix(path: Column) -> Column:
     """The last segment's file suffix, else the first segment."""
     found = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,8})$", 1)
-    return F.when(found != "", F.concat(F.lit("."), found)).otherwise(F.substring_index(F.substring(path, 2, 1_000_000), "/", 1))
+    return F.when(found != "", F.concat(F.lit("."), found)).otherwise(F.substring_index(F.substr(path, F.lit(2)), "/", 1))
 
 
-def suffix_statistics(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Smoothed share of allowed URLs a bucket, by host suffix and by path suffix."""
-    labelled = rows.where("ruled is not null")
+def suffix_statistics(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed shares of allowed URLs by host suffix and by path suffix: row f has those a bucket
+    without fold f, the last row those of all."""
     allowed = F.when(F.col("ruled") == "allow", 1).otherwise(0)
     out = []
     for column in ("hs", "ps"):
-        counts = labelled.groupBy(column).agg(F.sum(allowed).alias("a"), F.count(F.lit(1)).alias("n")).collect()
-        share = np.full(SUFFIX_BUCKETS, 0.5)
+        counts = labelled.groupBy(column, "fold").agg(F.sum(allowed).alias("a"), F.count(F.lit(1)).alias("n")).collect()
+        a, n = np.zeros((FOLDS + 1, SUFFIX_BUCKETS)), np.zeros((FOLDS + 1, SUFFIX_BUCKETS))
         for r in counts:
-            share[r[column]] = (r["a"] + 1) / (r["n"] + 2)
-        out.append(share)
+            others = np.arange(FOLDS + 1) != r["fold"]
+            a[others, r[column]] += r["a"]
+            n[others, r[column]] += r["n"]
+        out.append((a + 1) / (n + 2))
     return out[0], out[1]
 
 
@@ -120,24 +125,36 @@ def features(url: str | None, host: str, path: str) -> list[float]:
     ]
 
 
-def matrix(urls, hosts, paths, hs, ps, shares) -> np.ndarray:
+def matrix(urls, hosts, paths, hs, ps, shares, folds=FOLDS) -> np.ndarray:
+    """Features of a batch; ``folds`` says whose shares each row gets, by default those of all."""
     own = np.array([features(u, h, p) for u, h, p in zip(urls, hosts, paths, strict=True)], float).reshape(len(hosts), FEATURES - 2)
-    return np.column_stack([own, shares[0][np.asarray(hs, int)], shares[1][np.asarray(ps, int)]])
+    return np.column_stack([own, shares[0][folds, np.asarray(hs, int)], shares[1][folds, np.asarray(ps, int)]])
 
 
-def train(rows: DataFrame, shares, limit: int = TRAIN_ROWS) -> Trees:
+def train(labelled: DataFrame, shares, limit: int = TRAIN_ROWS) -> Trees:
     """Fit on at most ``limit`` labelled URLs; label 1 is allow."""
-    picked = rows.where("ruled is not null").orderBy(F.xxhash64("url"), "url", "page_id").limit(limit).toPandas()
-    x = matrix(picked["url"], picked["host"], picked["path"], picked["hs"], picked["ps"], shares)
-    return fit(x, (picked["ruled"] == "allow").to_numpy(float), trees=40)
 
+    def to_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            x = matrix(b["url"], b["host"], b["path"], b["hs"], b["ps"], shares, b["fold"].to_numpy(int))
+            yield pd.DataFrame({"y": (b["ruled"] == "allow").astype("int32"), "x": list(x)})
 
-def filter_urls(pages: DataFrame, url: str = "url", key: str = "page_id", rules=RULES, limit: int = TRAIN_ROWS) -> DataFrame:
-    """page_id, host, path, rule, verdict, score (the model's probability of allow)."""
+    picked = labelled.orderBy(F.xxhash64("url"), "url", "page_id").limit(limit)
+    seen = picked.drop("page_id", "rule").mapInPandas(to_features, "y int, x array<double>").toPandas()
+    x, y = np.array(seen["x"].tolist(), float).reshape(-1, FEATURES), seen["y"].to_numpy(float)
+    order = np.lexsort([*x.T, y])  # the same model, however rows arrive
+    return fit(x[order], y[order], trees=40)
+
+
+def filter_urls(pages: DataFrame, url: str = "url", key: str = "page_id", rules=RULES, limit: int = TRAIN_ROWS, learn: Column | None = None) -> DataFrame:
+    """page_id, host, path, rule, verdict, score (the model's probability of allow). ``learn``: a
+    condition on url, host and path; only labelled URLs that meet it are learned from."""
     rows = judged(pages, url, key, rules)
     rows = rows.withColumns({"hs": _bucket(host_suffix(F.col("host"))), "ps": _bucket(path_suffix(F.col("path")))})
-    shares = suffix_statistics(rows)
-    model = train(rows, shares, limit)
+    labelled = rows.where(F.col("ruled").isNotNull() & (F.lit(True) if learn is None else learn))
+    labelled = labelled.withColumn("fold", F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int"))
+    shares = suffix_statistics(labelled)
+    model = train(labelled, shares, limit)
 
     @F.pandas_udf("double")
     def score(it: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
