@@ -10,7 +10,8 @@ Defined edge cases
 * null text counts as empty; empty texts are scored like any other
 * null labels and labels of unknown documents are left out; of repeated labels all count
 * no labels: every score is close to 1, as nothing speaks against any text
-* empty table: empty result; other columns are passed through by ``score``
+* empty table: empty result; other columns are passed through by ``score``; one that has the
+  score's name keeps it, and the score gets the first free one of score_1, score_2, ...
 """
 
 from __future__ import annotations
@@ -91,9 +92,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
     def to_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"y": b["__label"], "x": list(matrix(b["__text"].tolist()))})
+            yield pd.DataFrame({"h": b["__h"], "y": b["__label"], "x": list(matrix(b["__text"].tolist()))})
 
-    seen = joined.select("__text", "__label").mapInPandas(to_features, "y int, x array<double>").toPandas()
+    seen = joined.select("__text", "__label", F.xxhash64("__id").alias("__h")).mapInPandas(to_features, "h long, y int, x array<double>")
+    # Documents may repeat an id; the bound holds for them too.
+    seen = seen.orderBy("h", "y", "x").limit(rows).toPandas()
     x = np.array(seen["x"].tolist(), float).reshape(-1, FEATURES)
     order = np.lexsort([*x.T, seen["y"].to_numpy()])  # the same model, however tasks end
     return fit(x[order], seen["y"].to_numpy(float)[order])
@@ -110,7 +113,11 @@ def scorer(model: Trees):
 
 
 def score(docs: DataFrame, model: Trees, text: str = "text", into: str = "score") -> DataFrame:
-    return docs.withColumn(into, scorer(model)(F.col(text).cast("string")))
+    """``docs`` and its scores, under a name that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    free = (into if i == 0 else f"{into}_{i}" for i in range(len(taken) + 1))
+    name = next(n for n in free if n.lower() not in taken)
+    return docs.select("*", scorer(model)(F.col(text).cast("string")).alias(name))
 
 
 def query(spark, sf_dir):
