@@ -283,11 +283,13 @@ def test_url_rules_against_brute_force(spark, sf_dir):
 
 
 def test_url_model_on_held_out_urls(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir.rsplit('/', 1)[0]}/sf0.01/pages.parquet").select("page_id", "url")
+    pages = spark.read.parquet(f"{sf_dir.rsplit('/', 1)[0]}/sf0.1/pages.parquet").select("page_id", "url")
     held = F.pmod(F.xxhash64("host"), F.lit(4)) == 0
     rows = op5_url_filter.filter_urls(pages, learn=~held).where(held & F.col("rule").isNotNull()).collect()
-    assert len(rows) > 20 and {r["verdict"] for r in rows} == {"allow", "block"}
-    assert np.mean([(r["score"] >= 0.5) == (r["verdict"] == "allow") for r in rows]) > 0.9
+    assert len(rows) > 150 and {r["verdict"] for r in rows} == {"allow", "block"}
+    # the rule on /en/1 asks for the first digit of a number, which is no lexical feature
+    told = [(r["score"] >= 0.5) == (r["verdict"] == "allow") for r in rows if r["rule"] != "example.org/en/1"]
+    assert np.mean(told) > 0.9
 
 
 def test_long_urls_are_read_whole(spark):
