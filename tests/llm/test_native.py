@@ -46,15 +46,39 @@ def test_exact_dedup_of_odd_rows(odd):
     assert all(r["kept"] == (r["doc_id"] == r["keep_id"]) for r in got if r["doc_id"] not in (None,))
 
 
-def test_directory_doubles_until_buckets_fit():
-    counts = {0: 5, 1: 5, 2: 1, 0xFFFF: 9}
-    slots = op3_exact_dedup.split_directory(counts, 5)
-    sums = defaultdict(int)
-    for slot, n in counts.items():
-        sums[slots[slot]] += n
-    assert sums[slots[0]] == 5 and sums[slots[1]] <= 6 and len(slots) == 1 << 16
-    assert slots[0xFFFF][0] == 16  # one overfull key stays, as deep as the directory goes
-    assert all(slots[s][1] <= s for s in range(0, 1 << 16, 997))
+def test_buckets_split_until_they_fit():
+    counts = {0: 5, 1: 5, 2: 1, 0xFF: 9}
+    fit, full = op3_exact_dedup.split_buckets(0, 0, 8, counts, 5)
+    assert full == [0xFF]  # nine keys share eight bits: counted by more bits in the next round
+    covered = sorted((at << (8 - d), ((at + 1) << (8 - d)) - 1) for at, d in [*fit, (0xFF, 8)])
+    assert covered[0][0] == 0 and covered[-1][1] == 255 and all(a[1] + 1 == b[0] for a, b in zip(covered, covered[1:], strict=False))
+    assert all(sum(n for k, n in counts.items() if a <= k <= b) <= 5 for a, b in covered[:-1])
+    assert (0, 8) in fit and (1, 8) in fit and (1, 7) in fit
+
+
+def test_directory_grows_with_the_keys(spark):
+    """More rounds than one, no fixed last depth: buckets of one key each."""
+    near = [(5 << 40) + i for i in range(6)] + [-1, 7]  # keys that share up to 61 bits
+    entries = spark.createDataFrame([(k,) for k in near + near[:2]], "key long")
+    buckets = op3_exact_dedup.find_buckets(entries, 1)
+    assert max(d for _, d in buckets) == 64
+    for k in near:
+        assert sum((k % (1 << 64)) >> (64 - d) == at for at, d in buckets) == 1
+    assert sum(1 << (64 - d) for _, d in buckets) == 1 << 64
+
+
+def test_rows_are_found_through_the_directory(odd, monkeypatch):
+    build = op3_exact_dedup.build_directory
+    whole = op3_exact_dedup.classes(odd, capacity=1).collect()
+    assert len({r["bucket"] for r in whole}) > 2
+
+    def without_one(entries, capacity):
+        table, bits = build(entries, capacity)
+        return table.where(F.col("bucket") != whole[0]["bucket"]), bits
+
+    monkeypatch.setattr(op3_exact_dedup, "build_directory", without_one)
+    left = op3_exact_dedup.classes(odd, capacity=1).collect()
+    assert len(left) == sum(r["bucket"] != whole[0]["bucket"] for r in whole) < len(whole)
 
 
 def test_mixing_odd_rows(odd):
