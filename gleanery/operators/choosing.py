@@ -33,9 +33,11 @@ def best_strategy(scores: DataFrame, page: str = "page_url") -> DataFrame:
 
 
 def best_reads(reads: DataFrame, page: str = "page_url") -> DataFrame:
-    """The reads of each page's best strategy."""
-    best = best_strategy(strategy_scores(reads, page), page).select(page, "strategy")
-    return reads.join(best, [page, "strategy"])
+    """The reads of each page's best strategy. One shuffle by page; pages are read once."""
+    own, whole = Window.partitionBy(page, "strategy", "strategy_ord"), Window.partitionBy(page)
+    rank = F.struct(F.count(F.lit(1)).over(own), F.avg(filled(_FILLED)).over(own), -F.col("strategy_ord"))
+    ranked = reads.repartition(F.col(page)).withColumn("_rank", rank)
+    return ranked.withColumn("_best", F.max("_rank").over(whole)).where("_rank = _best").drop("_rank", "_best")
 
 
 def detail_score() -> Column:

@@ -13,20 +13,19 @@ _WS = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    """An element. Elements are numbered in document order, so that those below one are a slice."""
+
+    __slots__ = ("tag", "attrs", "children", "parent", "order", "at", "end")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
+        self.order: list[Node] = []
+        self.at = self.end = 0
 
-    def elements(self) -> Iterator[Node]:
+    def elements(self) -> list[Node]:
         """All elements below, in document order."""
-        stack = list(reversed(self.children))
-        while stack:
-            x = stack.pop()
-            if isinstance(x, Node):
-                yield x
-                stack.extend(reversed(x.children))
+        return self.order[self.at + 1 : self.end]
 
     def strings(self) -> Iterator[str]:
         """Stripped, non-empty texts below, in document order; not those of scripts and styles."""
@@ -90,9 +89,23 @@ def parse(html: str | None) -> Node:
     builder = _Builder()
     builder.feed(html or "")
     builder.close()
+    _number(builder.root)
     return builder.root
 
 
+def _number(root: Node) -> None:
+    order: list[Node] = []
+    stack = [root]
+    while stack:
+        x = stack.pop()
+        x.at, x.order = len(order), order
+        order.append(x)
+        stack.extend(c for c in reversed(x.children) if isinstance(c, Node))
+    for x in reversed(order):  # children have their ends before their parent
+        last = next((c for c in reversed(x.children) if isinstance(c, Node)), None)
+        x.end = x.at + 1 if last is None else last.end
+
+
 _STEP = re.compile(r"(?P<tag>[a-zA-Z][\w-]*|\*)|\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[*^$~]?=)['\"]?(?P<val>[^'\"\]]*)['\"]?)?\]|(?P<last>:last-child)")
 _TESTS = {
     None: lambda have, want: True, "=": lambda have, want: have == want, "*=": lambda have, want: want != "" and want in have,
