@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions.text import slugify
+from ..sources.shared import staged
 
 GONE = (404, 410)
 
@@ -27,9 +30,16 @@ def probe_grid(spark: SparkSession, slugs: list[str] | None = None) -> DataFrame
     return dims.names(spark, slugs or dims.DISTRICT_SLUGS, "slug").crossJoin(templates)
 
 
+#: Towns a query may be asked for again; the seeds are far fewer.
+MOST_TOWNS = 10_000
+
+
 def fan_out(saturated: DataFrame, towns: DataFrame, queued: DataFrame) -> DataFrame:
-    """Saturated category queries town by town, without labels that are queued already. ``towns`` is a bounded seed list."""
-    wide = saturated.where("category is not null").select("category").crossJoin(F.broadcast(towns.select(slugify(F.col("town")).alias("location"))))
+    """Saturated category queries town by town, without labels that are queued already. Every town is
+    asked for, so the product is the result; up to ``MOST_TOWNS`` towns are broadcast, after a count."""
+    slugs = towns.select(slugify(F.col("town")).alias("location"))
+    few = slugs.limit(MOST_TOWNS + 1).count() <= MOST_TOWNS
+    wide = saturated.where("category is not null").select("category").crossJoin(F.broadcast(slugs) if few else slugs)
     named = wide.withColumn("label", label(F.col("location"), F.col("category")))
     return named.join(queued.select("label"), "label", "left_anti").select("location", "category", "label")
 
@@ -56,15 +66,16 @@ def is_terminal(status: Column) -> Column:
 
 
 def page_chain(pages: DataFrame, starts: DataFrame, cap: int = 25) -> DataFrame:
-    """(start, page, url): recorded successors followed from each start, up to ``cap`` pages."""
-    spark = pages.sparkSession
-    pages.select("url", "next_url").createOrReplaceTempView("_pages")
-    starts.select("url").createOrReplaceTempView("_starts")
-    return spark.sql(
-        f"WITH RECURSIVE chain(start, page, url) AS (SELECT url, 1, url FROM _starts UNION ALL "
-        f"SELECT c.start, c.page + 1, p.next_url FROM chain c JOIN _pages p ON p.url = c.url WHERE p.next_url IS NOT NULL AND c.page < {int(cap)}) "
-        "SELECT start, page, url FROM chain"
-    )
+    """(start, page, url): recorded successors followed from each start, up to ``cap`` pages.
+
+    One join a page, at most ``cap`` in all; each step is staged, so it is made once.
+    """
+    nexts = pages.select("url", F.col("next_url").alias("_next")).where("_next is not null")
+    steps = [staged(starts.select(F.col("url").alias("start"), F.lit(1).alias("page"), "url"), "chain")]
+    while len(steps) < cap and not steps[-1].isEmpty():
+        step = steps[-1].join(nexts, "url").select("start", (F.col("page") + 1).alias("page"), F.col("_next").alias("url"))
+        steps.append(staged(step, "chain"))
+    return reduce(DataFrame.unionByName, steps)
 
 
 def saturation(fetched: DataFrame, cap: int) -> DataFrame:
@@ -77,13 +88,15 @@ def saturation(fetched: DataFrame, cap: int) -> DataFrame:
 def within_budget(fetched: DataFrame, budget: int, order: str = "seq") -> DataFrame:
     """Pages up to and including the one that reaches the budget of new listings.
 
-    Running sums are made in blocks of pages; only one sum per block meets the others.
+    Pages are range-partitioned by their order, whatever its gaps; running sums are made in
+    each partition, and only one sum a partition meets the others.
     """
-    blocks = fetched.withColumn("_block", F.expr(f"{order} div 4096"))
-    sums = blocks.groupBy("_block").agg(F.sum("new").alias("_sum"))
-    ahead = sums.withColumn("_ahead", F.coalesce(F.sum("_sum").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = F.coalesce(F.sum("new").over(Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out = blocks.withColumn("_in", inside).join(ahead.select("_block", "_ahead"), "_block")
+    parts = staged(fetched.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sums = parts.groupBy("_part").agg(F.sum("new").alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_ahead"))
+    inside = F.coalesce(F.sum("new").over(Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = parts.withColumn("_in", inside).join(F.broadcast(ahead), "_part")  # as many rows as shuffle partitions
     return out.where(F.col("_in") + F.col("_ahead") < budget).select(*fetched.columns)
 
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import dims
-from ..operators import discovery, frontier, robots
+from ..functions.text import listing_id, page_number
+from ..operators import crawl, discovery, frontier, merging, robots
+from ..schemas import PAGES_LOG
+from ..sources.config import Settings
+from .reading import DETAIL, made
 from .registry import query, table
 
 _SLUGS = ", ".join(f"('{s}')" for s in dims.DISTRICT_SLUGS)
@@ -29,7 +33,7 @@ WITH s AS (SELECT DISTINCT p_type AS category FROM part), t AS (SELECT trim(rege
 SELECT location, category, location || '/' || category AS label FROM s, t WHERE location <> 'nation-3'
 """)
 def cross_fanout(spark, sf_dir):
-    """JON-09, STM-04: saturated categories by town, less what is queued."""
+    """JON-09: saturated categories by town, less what is queued."""
     saturated = table(spark, sf_dir, "part").select(F.col("p_type").alias("category")).distinct()
     queued = saturated.select(F.concat(F.lit("nation-3/"), "category").alias("label"))
     return frontier.fan_out(saturated, table(spark, sf_dir, "nation").select(F.col("n_name").alias("town")), queued)
@@ -67,7 +71,7 @@ def visited_pages(spark, sf_dir):
 
 @query(_LOG + "SELECT 'u' || c_custkey AS url FROM customer WHERE 'u' || c_custkey NOT IN (SELECT url FROM p WHERE error IS NULL AND status < 400)")
 def anti_resume(spark, sf_dir):
-    """JON-08, STM-01."""
+    """JON-08."""
     queue = table(spark, sf_dir, "customer").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"))
     return frontier.unvisited(queue, frontier.latest_pages(_log(spark, sf_dir)))
 
@@ -175,7 +179,92 @@ def robots_filter(spark, sf_dir):
 SELECT sha1(url) AS cache_key, arg_max(page_id, page_id) AS page_id, 200 AS status, true AS from_cache FROM pages WHERE page_id % 3 <> 0 GROUP BY url
 """)
 def page_cache(spark, sf_dir):
-    """SRC-02, SRC-05: successes only, one entry a URL, found by the URL's hash."""
+    """SRC-02: successes only, one entry a URL, found by the URL's hash."""
     rows = table(spark, sf_dir, "pages").withColumn("status", F.when(F.col("page_id") % 3 == 0, 503).otherwise(200))
     ok = rows.where("status < 400").groupBy("url").agg(F.max("page_id").alias("page_id"))
     return ok.select(F.sha1("url").alias("cache_key"), "page_id", F.lit(200).alias("status"), F.lit(True).alias("from_cache"))
+
+
+_SITE = "https://x.example/en/ads/"
+_NOW = "2026-07-01 12:00:00"
+_TOWN_SLUGS = sorted({t.lower().replace(" ", "-") for t in dims.TOWNS} - {"ratnapura"})
+#: (location, category, pages) of a small site; a page shows the nations whose key leaves page - 1 by 3.
+_ASKED = [("ratnapura", None, 1), ("ratnapura", "vehicles", 4), ("ratnapura", "property", 2), *[(t, "vehicles", 2) for t in _TOWN_SLUGS]]
+
+
+def _site(spark, sf_dir):
+    """(url, status, html) of result pages, every page's adverts made of ``nation``."""
+    asked = spark.createDataFrame(_ASKED, "location string, category string, pages int").withColumn("page", F.explode(F.expr("sequence(1, pages)")))
+    label = F.concat_ws("-", "location", F.coalesce("category", F.lit("all")))
+    link = F.concat(F.lit("<div><p><a href='/en/ad/"), label, F.lit("-"), F.col("n_nationkey").cast("string"), F.lit("'>An advert of "), F.col("n_name"), F.lit("</a></p></div>"))
+    shown = asked.join(table(spark, sf_dir, "nation"), F.col("n_nationkey") % 3 == F.col("page") - 1, "left")
+    bodies = shown.groupBy("location", "category", "pages", "page").agg(F.array_join(F.collect_list(link), "").alias("body"))
+    first = F.concat(F.lit(_SITE), F.concat_ws("/", "location", "category"))
+    url = F.when(F.col("page") > 1, F.concat(first, F.lit("?page="), F.col("page").cast("string"))).otherwise(first)
+    following = F.when(F.col("page") < F.col("pages"), F.concat(F.lit("<a href='?page="), (F.col("page") + 1).cast("string"), F.lit("'>more</a>"))).otherwise(F.lit(""))
+    return bodies.select(url.alias("url"), F.lit(200).alias("status"), F.concat(F.lit("<html><body>"), "body", following, F.lit("</body></html>")).alias("html"))
+
+
+def _settings(**more):
+    return Settings(base_url="https://x.example", categories=["vehicles", "property"], **more)
+
+
+_TOWN_ROWS = ", ".join(f"('{t}', 'vehicles', 2)" for t in _TOWN_SLUGS)
+
+
+@query(f"""
+WITH q AS (SELECT * FROM (VALUES ('ratnapura', NULL, 1), ('ratnapura', 'vehicles', 4), ('ratnapura', 'property', 2), {_TOWN_ROWS}) t(l, c, n)),
+p AS (SELECT l || '/' || coalesce(c, 'all') AS label, unnest(range(1, least(n, 3) + 1))::INT AS page FROM q)
+SELECT label, page, count(*)::INT AS listings, count(*) AS new FROM p JOIN nation ON n_nationkey % 3 = page - 1 GROUP BY label, page
+""")
+def crawl_fan_out(spark, sf_dir):
+    """STM-04, UDF-05: a query that runs to the page cap while it finds adverts is asked again town by town."""
+    _, log, _ = crawl.crawl(_site(spark, sf_dir), crawl.no_listings(spark), spark.createDataFrame([], PAGES_LOG), _settings(max_pages_per_query=3), F.lit(_NOW).cast("timestamp"), F.lit("t"))
+    return log.withColumn("page", page_number(F.col("url"))).select("label", "page", "listings", "new")
+
+
+@query("""
+WITH p(label, page) AS (VALUES ('ratnapura/vehicles', 3), ('ratnapura/property', 2))
+SELECT label, page::INT AS page, count(*)::INT AS listings, count(*) FILTER (label = 'ratnapura/property' OR n_nationkey % 2 = 1) AS new FROM p JOIN nation ON n_nationkey % 3 = page - 1 GROUP BY label, page
+UNION ALL SELECT 'ratnapura/vehicles', 4, 0, 0
+""")
+def crawl_resume(spark, sf_dir):
+    """STM-01: visited pages are skipped by their recorded successors; a failed visit is made again."""
+    base = f"{_SITE}ratnapura"
+    visits = [
+        (base, 200, None), (f"{base}/vehicles", 200, f"{base}/vehicles?page=2"), (f"{base}/vehicles?page=2", 200, f"{base}/vehicles?page=3"),
+        (f"{base}/vehicles?page=3", 503, None), (f"{base}/property", 200, f"{base}/property?page=2"),
+    ]
+    log = spark.createDataFrame([(u, "serp", s, 9, "x", n, None, "t") for u, s, n in visits], PAGES_LOG)
+    known = table(spark, sf_dir, "nation").where("n_nationkey % 6 = 2").select(F.concat(F.lit("/en/ad/ratnapura-vehicles-"), F.col("n_nationkey").cast("string")).alias("url"))
+    stored = merging.complete(known.withColumn("listing_id", listing_id(F.col("url")))).withColumn("detail_fetched", F.lit(0))
+    _, rows, _ = crawl.crawl(_site(spark, sf_dir), stored, log, _settings(), F.lit(_NOW).cast("timestamp"), F.lit("t"))
+    return rows.withColumn("page", page_number(F.col("url"))).select("label", "page", "listings", "new")
+
+
+@query("""
+SELECT sum(n) >= 12 AS reached, sum(n) - max(last) < 12 AS not_before, count(*) AS pages FROM (
+SELECT page, count(*) AS n, count(*) AS last FROM (VALUES (1), (2)) t(page) JOIN nation ON n_nationkey % 3 = page - 1 GROUP BY page)
+""")
+def crawl_budget(spark, sf_dir):
+    """LIM-01: the run ends at the page that reaches the budget, here the second: the first query has one page."""
+    listings, log, _ = crawl.crawl(_site(spark, sf_dir), crawl.no_listings(spark), spark.createDataFrame([], PAGES_LOG), _settings(max_listings=12), F.lit(_NOW).cast("timestamp"), F.lit("t"))
+    last = log.agg(F.max_by("new", "seq").alias("last"), F.count(F.lit(1)).alias("pages"))
+    return listings.agg(F.count(F.lit(1)).alias("n")).crossJoin(last).select((F.col("n") >= 12).alias("reached"), (F.col("n") - F.col("last") < 12).alias("not_before"), "pages")
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS k, p_name AS name, floor(p_retailprice)::BIGINT AS price FROM part)
+SELECT 'https://x.example/en/ad/p-' || k AS url, CASE WHEN k % 3 = 0 THEN name ELSE 'card title' END AS title, CASE WHEN k % 3 = 0 THEN price::DOUBLE END AS price_value,
+  CASE WHEN k % 3 = 0 THEN 'Embilipitiya' ELSE 'Pelmadulla' END AS town, '2 days ago' AS posted_text, CASE WHEN k % 3 = 0 THEN 'Text of ' || k END AS description,
+  CASE WHEN k % 3 = 0 THEN 2 ELSE 0 END AS images, CASE WHEN k % 3 = 2 THEN 0 ELSE 1 END AS detail_fetched FROM p
+""")
+def detail_enrichment(spark, sf_dir):
+    """JON-12, SNK-09, STM-05: cards meet their detail pages; what the card knew stays, gone adverts are done with, failures stay pending."""
+    pages = made(spark, sf_dir, DETAIL).withColumn("k", page_number(F.col("url"))).withColumn("url", F.concat(F.lit("https://x.example/en/ad/p-"), F.col("k").cast("string")))
+    k = F.col("k")
+    cards = pages.select("url", F.lit("card title").alias("title"), F.lit("Pelmadulla").alias("town"), F.lit("2 days ago").alias("posted_text"))
+    stored = merging.complete(cards.withColumn("listing_id", listing_id(F.col("url")))).withColumn("detail_fetched", F.lit(0))
+    site = pages.withColumn("status", F.when(k % 3 == 0, 200).when(k % 3 == 1, 410).otherwise(503)).where(k % 6 != 5)
+    out, _ = crawl.enrich(stored, site, _settings(), F.lit(_NOW).cast("timestamp"), F.lit("t"))
+    return out.select("url", "title", "price_value", "town", "posted_text", "description", F.size(F.coalesce("image_urls", F.array().cast("array<string>"))).alias("images"), "detail_fetched")

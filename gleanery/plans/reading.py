@@ -8,7 +8,7 @@ from ..operators import choosing, discovery
 from ..sources import pages as P
 from .registry import query, table
 
-def _made(spark, sf_dir, template, n_columns=("k", "name", "price")):
+def made(spark, sf_dir, template, n_columns=("k", "name", "price")):
     """(url, html) per part: ``template`` with its own key, name and price."""
     part = table(spark, sf_dir, "part")
     values = {"k": F.col("p_partkey").cast("string"), "name": F.col("p_name"), "price": F.floor("p_retailprice").cast("string")}
@@ -32,13 +32,13 @@ _CARDS = """<html><body><ul><li class="ad-card--x9y8z"><h2><<name>></h2><a href=
 _LINKS = """<html><body><div><div><p><a href="/en/ad/e-<<k>>"><<name>> sale</a></p><p>Rs <<price>></p><p>in Balangoda</p><p>3 days ago</p></div>
 <div><a href="/en/ad/f-<<k>>"><img data-src="/x.png"></a><span>a very long name here</span></div></div></body></html>"""
 
-_DETAIL = """<html><body><nav class="breadcrumb"><a>Home</a><a>Property</a><a>Land</a></nav><h1><<name>></h1><div class="price">Rs <<price>> Negotiable</div><div class="location">Embilipitiya, Ratnapura</div>
+DETAIL = """<html><body><nav class="breadcrumb"><a>Home</a><a>Property</a><a>Land</a></nav><h1><<name>></h1><div class="price">Rs <<price>> Negotiable</div><div class="location">Embilipitiya, Ratnapura</div>
 <dl><dt>Condition:</dt><dd>Used</dd><dt>Size:</dt><dd><<k>> perches</dd></dl><div class="detail-item"><b>Size</b><span>ignored</span></div><div class="detail-item"><b>Road:</b><span>wide</span></div>
 <div class="description">Text of <<k>></div><div class="gallery"><img src="/g/1.jpg"><img src="/g/1.jpg"><img src="/g/2.jpg"></div></body></html>"""
 
 
 def _results(spark, sf_dir, template):
-    found = P.reads(_made(spark, sf_dir, template))
+    found = P.reads(made(spark, sf_dir, template))
     rows = choosing.best_reads(P.to_listings(found, F.lit("2026-07-01 12:00:00").cast("timestamp"), F.lit("t")))
     return rows.select("strategy", "url", "title", "price_text", "price_value", "currency", "town", "district", "posted_at", "is_promoted", F.size("image_urls").alias("images"))
 
@@ -93,7 +93,7 @@ def html_card_climb(spark, sf_dir):
 ))
 def read_detail(spark, sf_dir):
     """HTM-03, JON-11, MAP-02, WIN-05, FLT-09, SET-04."""
-    found = P.reads(_made(spark, sf_dir, _DETAIL), detail=True)
+    found = P.reads(made(spark, sf_dir, DETAIL), detail=True)
     merged = choosing.merge_details(P.to_listings(found, F.lit("2026-07-01 12:00:00").cast("timestamp"), F.lit("t")))
     return merged.select(
         "title", "price_value", "price_qualifier", "category", "subcategory", "condition", "town", "description",
@@ -107,7 +107,7 @@ _BOTH = _LD.replace("</head>", "<script>window.__data = {\"x\": {\"title\": \"st
 @query(_sql("'https://x.example/en/ad/a-' || k AS url, 'state-blob' AS extracted_by, 'state title' AS title, 'body' AS description, 'Balangoda' AS town, '3' AS size_attr"))
 def merge_detail_reads(spark, sf_dir):
     """WIN-05, WIN-06: the poorer read is laid over the richer one, so its known values win."""
-    found = P.reads(_made(spark, sf_dir, _BOTH), detail=True)
+    found = P.reads(made(spark, sf_dir, _BOTH), detail=True)
     merged = choosing.merge_details(P.to_listings(found, F.lit("2026-07-01 12:00:00").cast("timestamp"), F.lit("t")))
     return merged.select("url", "extracted_by", "title", "description", "town", F.try_element_at("attributes", F.lit("size")).alias("size_attr"))
 
@@ -115,7 +115,7 @@ def merge_detail_reads(spark, sf_dir):
 @query(_sql("'https://x.example/en/ads/p?page=' || k AS page_url, 'https://x.example/en/ads/p?page=2' AS next_url"))
 def next_page_links(spark, sf_dir):
     """STR-12."""
-    return P.next_pages(_made(spark, sf_dir, _LD))
+    return P.next_pages(made(spark, sf_dir, _LD))
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, '<a [^>]*href=')) AS n FROM pages")
@@ -136,13 +136,13 @@ def json_walk(spark, sf_dir):
 @query(_sql("'https://x.example/en/ads/p?page=' || k AS page_url, 1 AS blob_count, 'ads' AS keys"))
 def state_payloads(spark, sf_dir):
     """AGG-16, LIM-03."""
-    return discovery.payloads(_made(spark, sf_dir, _STATE)).select("page_url", "blob_count", F.array_join("top_level_keys", ",").alias("keys"))
+    return discovery.payloads(made(spark, sf_dir, _STATE)).select("page_url", "blob_count", F.array_join("top_level_keys", ",").alias("keys"))
 
 
 @query("SELECT 'li[class*=''ad-card'']' AS selector, 'ad-card--x9y8z' AS raw_class, 2 * count(*) AS matches FROM part")
 def learned_cards(spark, sf_dir):
     """AGG-12, STR-08, UDF-04."""
-    return discovery.learn_cards(_made(spark, sf_dir, _CARDS))
+    return discovery.learn_cards(made(spark, sf_dir, _CARDS))
 
 
 @query("""
@@ -160,4 +160,4 @@ def category_slugs(spark, sf_dir):
 @query(_sql("'https://x.example/en/ads/p?page=' || k AS page_url, name || ' x' AS title", "'https://x.example/en/ads/p?page=' || k, 'second'"))
 def read_samples(spark, sf_dir):
     """LIM-03."""
-    return discovery.samples(P.reads(_made(spark, sf_dir, _LD)).where("strategy = 'json-ld'")).select("page_url", "title")
+    return discovery.samples(P.reads(made(spark, sf_dir, _LD)).where("strategy = 'json-ld'")).select("page_url", "title")

@@ -2,25 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import streaming
+from ..sources.shared import shared_folder
 from .registry import query, table
 
 
-def _folder(spark) -> str:
-    """A new folder under the shared checkpoint folder; a local session without one uses its own."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="gleanery-stream-")
-    return f"{root}/stream-{uuid.uuid4().hex}"
-
-
 def _events(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     return streaming.read_table(spark, sf_dir, "events", schema).withColumn("ts", F.col("ts").cast("timestamp"))
@@ -28,7 +16,7 @@ def _events(spark, sf_dir):
 
 def _drain(stream, spark, mode: str = "append"):
     """Everything the stream yields, from the sink's files."""
-    at = _folder(spark)
+    at = shared_folder(spark, "stream")
     query_ = stream.writeStream.format("parquet").outputMode(mode).option("path", f"{at}/out").option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start()
     query_.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
@@ -50,7 +38,7 @@ def stream_merge(spark, sf_dir):
         F.col("user_id").cast("string").alias("listing_id"), F.concat(F.lit("/en/ad/"), F.col("user_id").cast("string")).alias("url"),
         F.col("event_type").alias("title"), F.col("value").alias("price_value"), F.col("event_id").alias("seq"),
     )
-    at = _folder(spark)
+    at = shared_folder(spark, "stream")
     last = streaming.merge_stream(e, f"{at}/listings", f"{at}/log")
     return spark.read.parquet(f"{at}/listings/snapshot={last}").select("listing_id", "title", "price_value")
 
