@@ -1,4 +1,4 @@
-"""Command line: import-table, extract, export, stats, discover, towns."""
+"""Command line: import-table, extract, crawl, export, stats, discover, towns."""
 
 from __future__ import annotations
 
@@ -12,30 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import dims
-from .operators import choosing, discovery, importing, merging, reporting
-from .schemas import PAGES_LOG, STORED_LISTING
+from .engine import Engine
+from .operators import choosing, discovery, importing, merging
 from .session import session
 from .sources import markdown, pages, tables, writers
-from .sources.config import Settings
+from .sources.config import Settings, read_settings, write_settings
 
 
-def _stored(spark: SparkSession, folder: str) -> DataFrame:
-    if not Path(folder).exists():
-        return spark.createDataFrame([], STORED_LISTING)
-    return tables.migrate(spark.read.parquet(folder), STORED_LISTING)
+def _engine(spark: SparkSession, args: argparse.Namespace) -> Engine:
+    return Engine(args.db, read_settings(args.config) if getattr(args, "config", None) else None, spark)
 
 
-def _save(spark: SparkSession, folder: str, incoming: DataFrame) -> tuple[int, int]:
-    """Fold ``incoming`` into the stored snapshot and swap the folder."""
-    stored = _stored(spark, folder)
-    counts = merging.upsert_counts(stored, incoming).first()
-    new = f"{folder.rstrip('/')}.next"
-    merging.upsert(stored, incoming).write.mode("overwrite").parquet(new)
-    old = Path(folder)
-    if old.exists():
-        old.rename(f"{folder.rstrip('/')}.{datetime.now(UTC):%Y%m%dT%H%M%S%f}")
-    Path(new).rename(old)
-    return counts["new"], counts["updated"]
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    tables.register(spark)
+    return spark.read.format("raw_pages").load(folder)
 
 
 def _now() -> str:
@@ -50,7 +40,7 @@ def import_table(spark: SparkSession, args: argparse.Namespace) -> int:
     kept = rows.where(F.col("district") == args.only_district) if args.only_district else rows
     listings = importing.to_listing(kept, F.lit(_now()))
     incoming = listings.withColumns({"seq": F.monotonically_increasing_id(), "detail_fetched": F.lit(0)}).persist()
-    new, updated = _save(spark, args.db, incoming)
+    new, updated = _engine(spark, args).upsert(incoming)
     for row in importing.summary(rows).orderBy("section", F.desc("n"), "key").toLocalIterator():
         print(f"{row['section']}\t{row['key']}\t{row['n']}")
     print(f"imported {new} new, {updated} merged into existing -> {args.db}")
@@ -60,23 +50,27 @@ def import_table(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> int:
-    settings = Settings.load(args.config) if args.config else Settings()
-    tables.register(spark)
-    raw = spark.read.format("raw_pages").load(args.folder)
+    engine = _engine(spark, args)
     found = pages.to_listings(
-        pages.reads(raw, args.details, settings.learned_selectors), F.current_timestamp(), F.lit(_now())
+        pages.reads(_pages(spark, args.folder), args.details, engine.settings["learned_selectors"]), F.current_timestamp(), F.lit(_now())
     ).persist()
     best = choosing.merge_details(found) if args.details else choosing.best_reads(found)
     extra = {"seq": F.monotonically_increasing_id(), "detail_fetched": F.lit(int(args.details))}
     if args.details:
         best = best.withColumn("listing_id", pages.listing_id(F.col("url")))
-    new, updated = _save(spark, args.db, merging.complete(best).withColumns(extra).persist())
+    new, updated = engine.upsert(merging.complete(best).withColumns(extra).persist())
     print(f"{new} new, {updated} merged into existing -> {args.db}")
     return 0
 
 
+def crawl(spark: SparkSession, args: argparse.Namespace) -> int:
+    engine = _engine(spark, args)
+    print(engine.crawl(_pages(spark, args.folder), False if args.no_details else None, lambda message: print(message, file=sys.stderr)))
+    return 0
+
+
 def export(spark: SparkSession, args: argparse.Namespace) -> int:
-    listings = _stored(spark, args.db)
+    listings = _engine(spark, args).listings
     if listings.isEmpty():
         print("nothing to export; the table is empty", file=sys.stderr)
         return 1
@@ -90,24 +84,26 @@ def export(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def stats(spark: SparkSession, args: argparse.Namespace) -> int:
-    for row in reporting.stats(_stored(spark, args.db), spark.createDataFrame([], PAGES_LOG)).toLocalIterator():
+    for row in _engine(spark, args).stats().toLocalIterator():
         print(f"{row['section']}\t{row['key']}\t{row['n']}")
     return 0
 
 
 def discover(spark: SparkSession, args: argparse.Namespace) -> int:
-    tables.register(spark)
-    raw = spark.read.format("raw_pages").load(args.folder).persist()
+    raw = _pages(spark, args.folder).persist()
     reads = pages.reads(raw)
     cards = [r.asDict() for r in discovery.learn_cards(raw).collect()]
     settings = Settings(categories=discovery.categories(pages.links(raw)), learned_selectors={"card": cards[0]["selector"]} if cards else {})
-    settings.save(args.config)
+    write_settings(settings, args.config)
     report = {
         "strategies": {r["strategy"]: r["n"] for r in choosing.strategy_counts(reads).collect()},
-        "card_candidates": cards, "categories": settings.categories,
+        "card_candidates": cards, "categories": settings["categories"],
         "payloads": [r.asDict() for r in discovery.payloads(raw).where("blob_count > 0").limit(discovery.SAMPLES).collect()],
     }
-    print(json.dumps(report, indent=2, ensure_ascii=False))
+    told = json.dumps(report, indent=2, ensure_ascii=False)
+    Path(args.report).parent.mkdir(parents=True, exist_ok=True)
+    Path(args.report).write_text(told, encoding="utf-8")
+    print(told)
     return 0 if report["strategies"] else 1
 
 
@@ -118,7 +114,7 @@ def towns(spark: SparkSession | None, args: argparse.Namespace) -> int:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="gleanery")
-    top.add_argument("--db", default="data/listings.parquet", help="listing table")
+    top.add_argument("--db", default="data/listings", help="folder of the listing table and the page log")
     sub = top.add_subparsers(dest="command", required=True)
 
     def add(name: str, run, *options: tuple[str, dict]) -> None:
@@ -131,7 +127,8 @@ def parser() -> argparse.ArgumentParser:
     add("extract", extract, ("folder", {}), ("--details", {"action": "store_true"}), ("--config", {}))
     add("export", export, ("--out", {"default": "out/listings.csv"}), ("--no-flatten", {"action": "store_true"}), ("--district", {}))
     add("stats", stats)
-    add("discover", discover, ("folder", {}), ("--config", {"default": "data/config.json"}))
+    add("crawl", crawl, ("folder", {}), ("--no-details", {"action": "store_true"}), ("--config", {}))
+    add("discover", discover, ("folder", {}), ("--config", {"default": "data/config.json"}), ("--report", {"default": "data/discovery.json"}))
     add("towns", towns)
     return top
 

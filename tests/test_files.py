@@ -6,10 +6,12 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+import gleanery
 from gleanery import cli
 from gleanery.operators import merging
 from gleanery.sources import tables, writers
-from gleanery.sources.config import Settings
+from gleanery.sources.config import Settings, read_settings, write_settings
+from gleanery.sources.snapshots import Snapshots
 
 
 @pytest.fixture
@@ -55,10 +57,23 @@ def test_round_trip(listings):
 
 
 def test_settings(tmp_path):
-    Settings(locale="si").save(tmp_path / "c.json")
-    data = json.loads((tmp_path / "c.json").read_text()) | {"unknown": 1}
+    write_settings(Settings(locale="si"), tmp_path / "a" / "c.json")
+    data = json.loads((tmp_path / "a" / "c.json").read_text()) | {"unknown": 1}
     (tmp_path / "c.json").write_text(json.dumps(data))
-    assert Settings.load(tmp_path / "c.json").locale == "si"
+    got = read_settings(tmp_path / "c.json")
+    assert got["locale"] == "si" and dict(got) == dict(Settings(locale="si")) and "unknown" not in got
+    with pytest.raises(TypeError):
+        Settings(unknown=1)
+
+
+def test_snapshots_are_swapped(spark, tmp_path):
+    kept = Snapshots(spark, str(tmp_path / "t"))
+    assert kept.current() is None
+    for n in range(4):
+        old = kept.current()
+        kept.replace(spark.range(1) if old is None else old.selectExpr("id + 1 AS id"))
+        assert [r["id"] for r in kept.current().collect()] == [n]
+    assert len(list((tmp_path / "t").glob("snapshot-*"))) == 2
 
 
 def test_raw_pages(spark, tmp_path):
@@ -79,3 +94,38 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["--db", str(tmp_path / "none"), "export"]) == 1
     assert cli.main(["--db", db, "stats"]) == 0
     assert cli.main(["towns"]) == 0
+
+
+def test_crawl_command(spark, tmp_path, capsys):
+    site, config, db = tmp_path / "site", tmp_path / "c.json", str(tmp_path / "db")
+    site.mkdir()
+    write_settings(Settings(base_url="https://x.example", categories=["vehicles"], max_pages_per_query=1, towns=["Balangoda"]), config)
+
+    def save(name, url, body):
+        (site / f"{name}.html").write_text(f"<html><body>{body}</body></html>")
+        (site / f"{name}.url").write_text(url)
+
+    save("s", "https://x.example/en/ads/ratnapura", "<div><p><a href='/en/ad/a'>An advert of some length</a></p><p>2 days ago</p></div>")
+    save("v", "https://x.example/en/ads/ratnapura/vehicles", "<div><p><a href='/en/ad/b'>Another advert of some length</a></p></div>")
+    save("t", "https://x.example/en/ads/balangoda/vehicles", "<div><p><a href='/en/ad/c'>A third advert of some length</a></p></div>")
+    save("d", "https://x.example/en/ad/a", "<h1>A title</h1><div class='description'>All about it</div>")
+    assert cli.main(["--db", db, "crawl", str(site), "--config", str(config)]) == 0
+    assert "3 pages, 3 new listings" in capsys.readouterr().out
+    engine = gleanery.Engine(db, spark=spark)
+    rows = {r["url"].rsplit("/", 1)[1]: r for r in engine.listings.collect()}
+    assert rows["a"]["title"] == "A title" and rows["a"]["posted_text"] == "2 days ago" and rows["a"]["detail_fetched"] == 1
+    assert rows["c"]["category"] == "vehicles" and rows["c"]["detail_fetched"] == 0 and engine.page_log.count() == 4
+    assert cli.main(["--db", db, "crawl", str(site), "--config", str(config)]) == 0
+    assert "0 pages, 0 new listings" in capsys.readouterr().out
+
+
+def test_discover_command(spark, tmp_path, capsys):
+    (tmp_path / "a.html").write_text("<ul><li class='ad-card--x9y8z'><a href='/en/ad/a'>An advert of some length</a><a href='/en/ads/ratnapura/boats'>b</a></li></ul>")
+    assert cli.main(["discover", str(tmp_path), "--config", str(tmp_path / "c.json"), "--report", str(tmp_path / "r" / "d.json")]) == 0
+    report = json.loads((tmp_path / "r" / "d.json").read_text())
+    assert report["strategies"] and report["card_candidates"][0]["selector"] == "li[class*='ad-card']"
+    assert read_settings(tmp_path / "c.json")["learned_selectors"]["card"] == "li[class*='ad-card']"
+
+
+def test_public_names():
+    assert set(gleanery.__all__) <= {*dir(gleanery), *gleanery._HOMES} and gleanery.Settings()["locale"] == "en" and gleanery.LISTING.names[0] == "listing_id"
