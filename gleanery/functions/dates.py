@@ -13,6 +13,10 @@ UNITS = {
     "day": 86400, "week": 7 * 86400, "month": 30 * 86400, "year": 365 * 86400,
 }
 FORMATS = ["d MMM yyyy", "d MMMM yyyy", "yyyy-M-d", "d/M/yyyy", "MMM d, yyyy"]
+# End of the fixed values.
+
+#: What a text must look like at least to be tried: a failed attempt costs an exception.
+_SHAPES = [r"^\d+ \S+ [+-]?\d+$", r"^\d+ \S+ [+-]?\d+$", r"^[+-]?\d+-\d+-\d+$", r"^\d+/\d+/[+-]?\d+$", r"^\S+ \d+, [+-]?\d+$"]
 ISO = "yyyy-MM-dd'T'HH:mm:ssxxx"
 _AGO = r"(?U)(\d+)\s*(second|minute|min|hour|hr|day|week|month|year)s?\s*ago"
 #: Ages beyond this many seconds are no ages of adverts.
@@ -31,10 +35,10 @@ def parse_posted(text: Column, now: Column) -> Column:
     day = F.date_trunc("day", now)
     seconds = F.regexp_extract(low, _AGO, 1).try_cast("bigint")
     unit = F.regexp_extract(low, _AGO, 2)
-    size = F.element_at(F.create_map(*[F.lit(x) for kv in UNITS.items() for x in kv]), F.nullif(unit, F.lit("")))
+    size = F.coalesce(*[F.when(unit == name, F.lit(n)) for name, n in UNITS.items()])
     age = F.when(seconds <= _OLDEST / size, seconds * size)
     relative = F.timestamp_seconds(F.unix_timestamp(now) - age)
-    absolute = F.coalesce(*[F.try_to_timestamp(whole, F.lit(f)) for f in FORMATS])
+    absolute = F.coalesce(*[F.when(whole.rlike(shape), F.try_to_timestamp(whole, F.lit(f))) for f, shape in zip(FORMATS, _SHAPES, strict=True)])
     return iso(
         F.when(low.rlike("just now|moments ago"), now)
         .when(F.contains(low, F.lit("today")), day)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import dims
-from .text import empty_to_null, strip, title_case
+from .text import empty_to_null, strip
 
 # The number patterns, and phrases for prices that are none.
 PRICE = r"(?iU)(Rs\.?|LKR|රු\.?)?\s*(\d[\d,\s]*(?:\.\d+)?)"
@@ -15,15 +17,14 @@ ASK = ["ask for price", "negotiable price", "on request"]
 
 
 def _any(text: Column, phrases: list[str]) -> Column:
-    return F.exists(F.array(*map(F.lit, phrases)), lambda p: F.contains(text, p))
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in phrases])
 
 
 def parse_price(text: Column) -> Column:
     """struct(value, currency, qualifier) of a price as it is shown."""
     text = empty_to_null(text)
     low = F.lower(text)
-    named = F.get(F.filter(F.array(*map(F.lit, dims.PRICE_QUALIFIERS)), lambda q: F.contains(low, q)), F.lit(0))
-    qualifier = title_case(named)
+    qualifier = F.coalesce(*[F.when(F.contains(low, F.lit(q)), F.lit(q.title())) for q in dims.PRICE_QUALIFIERS])
     free = F.contains(low, F.lit("free")) & ~text.rlike(r"(?U)\d")
     ask = _any(low, ASK)
     digits = F.regexp_replace(F.regexp_extract(text, PRICE, 2), "[, ]", "")

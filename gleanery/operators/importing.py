@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import dims
@@ -58,13 +60,43 @@ def normalise(rows: DataFrame) -> DataFrame:
     return out.drop("_size", "_price", "_named", "_listed", "_exact", "_money")
 
 
-def group_medians(rows: DataFrame, keys: list[str], total: str) -> DataFrame:
-    """Per group with two or more non-zero totals: n and the upper median."""
-    nonzero = rows.where(F.col(total) != 0)
-    grouped = nonzero.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_totals"), F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {total} DESC)").alias("median_total")
+#: Groups of more rows than this are no window partitions: their medians come from an aggregate
+#: that combines map-side.
+HOT_ROWS = 1 << 20
+
+
+def _ranked_medians(rows: DataFrame, keys: list[str], total: str) -> DataFrame:
+    """``median_total`` by one sort of each group: of n non-zero totals, the one in place ceil(n / 2) from the top."""
+    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("_value"))
+    group = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = rows.withColumn("_value", F.when(F.col(total) != 0, F.col(total)))
+    ranked = ranked.withColumns({"_place": F.row_number().over(order), "_n": F.count("_value").over(group)})
+    middle = F.when((F.col("_n") >= 2) & (F.col("_place") == F.ceil(F.col("_n") / 2)), F.col("_value"))
+    return ranked.withColumn("median_total", F.max(middle).over(group)).drop("_value", "_place", "_n")
+
+
+def _combined_medians(rows: DataFrame, hot: DataFrame, keys: list[str], total: str) -> DataFrame:
+    """The same for the groups in ``hot``, by an aggregate and a join back, which may both be split."""
+    grouped = rows.where(F.col(total) != 0).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {total} DESC)").alias("_middle")
     )
-    return grouped.where("n_totals >= 2")
+    medians = grouped.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], F.when(F.col("_n") >= 2, F.col("_middle")).alias("median_total"))
+    return rows.join(medians, _same(keys), "left").drop(*[f"_{i}" for i in range(len(keys))])
+
+
+def _same(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
+
+
+def with_medians(rows: DataFrame, keys: list[str], total: str) -> DataFrame:
+    """Adds ``median_total``, the upper median of the non-zero totals of each row's group, null in groups
+    with fewer than two. One shuffle on the keys; groups beyond ``HOT_ROWS`` are found first and go apart."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
+    if counted.isEmpty():
+        return _ranked_medians(rows, keys, total)
+    hot = counted.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+    apart = [rows.join(hot, _same(keys), how) for how in ("left_semi", "left_anti")]
+    return _combined_medians(apart[0], hot, keys, total).unionByName(_ranked_medians(apart[1], keys, total))
 
 
 def is_outlier(total: Column, median: Column, ratio: float = dims.OUTLIER_RATIO) -> Column:
@@ -72,29 +104,27 @@ def is_outlier(total: Column, median: Column, ratio: float = dims.OUTLIER_RATIO)
     return F.coalesce((t / m > ratio) | (m / t > ratio), F.lit(False))
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"_title": F.lower(strip(F.col("title"))), "_size": F.col("size_perches")})
+
+
 def audit(rows: DataFrame) -> DataFrame:
     """Rows with ``price-conflicts-with-duplicate`` appended where a total is far from its group's median.
 
-    Groups are (lower-cased title, size); an unknown size is a size. One shuffle on the
-    group key for the medians, one for the join back, which may be split where a key is hot.
+    Groups are (lower-cased title, size); an unknown size is a size, an unknown title no group.
     """
-    keyed = rows.withColumns({"_title": F.lower(strip(F.col("title"))), "_size": F.col("size_perches")})
-    medians = group_medians(keyed, ["_title", "_size"], "price_total")
-    m = medians.select(F.col("_title").alias("_t"), F.col("_size").alias("_s"), "median_total")
-    joined = keyed.join(m, (F.col("_title") == F.col("_t")) & F.col("_size").eqNullSafe(F.col("_s")), "left")
-    outlier = is_outlier(F.col("price_total"), F.col("median_total"))
+    judged = with_medians(_keyed(rows), ["_title", "_size"], "price_total")
+    outlier = is_outlier(F.col("price_total"), F.col("median_total")) & F.col("_title").isNotNull()
     flags = F.when(outlier, F.array_append("flags", F.lit("price-conflicts-with-duplicate"))).otherwise(F.col("flags"))
-    return joined.withColumn("flags", flags).select(*rows.columns)
+    return judged.withColumn("flags", flags).select(*rows.columns)
 
 
 def conflicts(rows: DataFrame) -> DataFrame:
     """One row per group with an outlier: title, size_perches, median_total, variants."""
-    keyed = rows.withColumns({"_title": F.lower(strip(F.col("title"))), "_size": F.col("size_perches")}).where("price_total != 0")
-    medians = group_medians(keyed, ["_title", "_size"], "price_total")
-    m = medians.select(F.col("_title").alias("_t"), F.col("_size").alias("_s"), "median_total")
-    joined = keyed.join(m, (F.col("_title") == F.col("_t")) & F.col("_size").eqNullSafe(F.col("_s")))
+    keyed = _keyed(rows).where("price_total != 0 and _title is not null")
+    judged = with_medians(keyed, ["_title", "_size"], "price_total").where("median_total is not null")
     variant = F.concat(F.coalesce("price_text", F.lit("None")), F.lit(" => total "), F.format_number("price_total", 0))
-    grouped = joined.groupBy(F.col("_title").alias("title"), F.col("_size").alias("size_perches"), "median_total").agg(
+    grouped = judged.groupBy(F.col("_title").alias("title"), F.col("_size").alias("size_perches"), "median_total").agg(
         F.bool_or(is_outlier(F.col("price_total"), F.col("median_total"))).alias("_any"), F.sort_array(F.collect_set(variant)).alias("variants")
     )
     return grouped.where("_any").drop("_any")

@@ -100,9 +100,8 @@ WHERE l_extendedprice <> 0 AND (l_extendedprice / median > 3 OR median / l_exten
 def conflict_audit(spark, sf_dir):
     """AGG-08, WIN-10: the flagship."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").alias("total"))
-    medians = importing.group_medians(rows, ["l_partkey", "l_suppkey"], "total")
-    joined = rows.join(medians.drop("n_totals"), ["l_partkey", "l_suppkey"])
-    return joined.where(importing.is_outlier(F.col("total"), F.col("median_total")))
+    judged = importing.with_medians(rows, ["l_partkey", "l_suppkey"], "total")
+    return judged.where(importing.is_outlier(F.col("total"), F.col("median_total")))
 
 
 @query(_AUDIT + """, o AS (SELECT l_partkey, l_suppkey, median, l_extendedprice AS t, l_returnflag FROM lineitem JOIN g USING (l_partkey, l_suppkey) WHERE l_extendedprice <> 0)
