@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: A dimension of up to this many rows becomes a literal of the plan.
 MOST_LITERALS = 10_000
+#: Characters by which the names of a larger one are found.
+GRAM = 4
 
 
 def longest_named(text: Column, names: list[str]) -> Column:
@@ -16,17 +18,31 @@ def longest_named(text: Column, names: list[str]) -> Column:
 
 
 def theta_lookup(rows: DataFrame, text: str, dimension: DataFrame, name: str, order: str) -> DataFrame:
-    """Left outer theta join, top 1: adds ``found``, the longest name of the dimension in ``text``.
+    """Left outer theta join, top 1: adds ``found``, the longest name of the dimension in ``text``,
+    then the first by ``order``. Empty names are none.
 
     Small dimensions (their size is checked) become a literal that a row is tested against
-    without a shuffle; larger ones are refused, as matching them needs an index.
+    without a shuffle; larger ones are joined by ``indexed_lookup``.
     """
-    found = dimension.orderBy(order).select(name).limit(MOST_LITERALS + 1).collect()
+    named = dimension.where(F.col(name) != "")
+    found = named.orderBy(order).select(name).limit(MOST_LITERALS + 1).collect()
     if len(found) > MOST_LITERALS:
-        raise ValueError(f"a dimension of over {MOST_LITERALS} names can't be a literal")
+        return indexed_lookup(rows, text, named, name, order)
     return rows.withColumn("found", longest_named(F.col(text), [r[0] for r in found]) if found else F.lit(None).cast("string"))
 
 
+def indexed_lookup(rows: DataFrame, text: str, dimension: DataFrame, name: str, order: str) -> DataFrame:
+    """``theta_lookup`` for a dimension of any size: a name is filed under its first ``GRAM``
+    characters (a shorter one under all), a text looks up the runs of characters it has, and
+    whole names are verified. Distinct texts are looked up once."""
+    names = dimension.groupBy(F.col(name).alias("_n")).agg(F.min(order).alias("_o")).withColumn("_g", F.substring("_n", 1, GRAM))
+    texts = rows.select(F.col(text).alias("_t")).where("_t is not null").distinct()
+    runs = F.concat(*[F.regexp_extract_all("_t", F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)) for k in range(1, GRAM + 1)])
+    hits = texts.select("_t", F.explode(F.array_distinct(runs)).alias("_g")).join(names, "_g").where(F.contains("_t", "_n"))
+    best = hits.groupBy("_t").agg(F.min(F.struct((-F.length("_n")).alias("l"), "_o", "_n")).alias("_x"))
+    return rows.join(best, F.col(text) == F.col("_t"), "left").withColumn("found", F.col("_x._n")).drop("_t", "_x")
+
+
 def equi_lookup(rows: DataFrame, key: Column, table: dict[str, str], into: str, default: Column | None = None) -> DataFrame:
     """Left outer lookup in a literal table."""
     pairs = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])

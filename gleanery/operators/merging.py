@@ -1,7 +1,8 @@
 """Merging repeated observations of a listing: a keyed fold that never blanks a known value.
 
-Observations carry ``seq``, their order of arrival. All is one shuffle on the key; scalar
-columns fold in partial aggregates, maps and lists in order per key.
+Observations carry ``seq``, their order of arrival. All columns fold in partial aggregates:
+scalars by key, entries of maps and items of lists by key and name, so a key of any number of
+observations is combined before it is shuffled.
 """
 
 from __future__ import annotations
@@ -30,42 +31,44 @@ def last_known(column: str, kind: str, seq: str = "seq") -> Column:
     return F.coalesce(F.max_by(c, F.when(is_known(c, kind), F.col(seq))), F.min_by(c, F.col(seq)))
 
 
-def in_order(column: str, seq: str = "seq") -> Column:
-    """A key's values by ``seq``."""
-    rows = F.collect_list(F.struct(F.col(seq).alias("s"), F.col(column).alias("v")))
-    by_seq = F.array_sort(rows, lambda a, b: F.when(a["s"] < b["s"], -1).when(a["s"] > b["s"], 1).otherwise(0))
-    return F.transform(by_seq, lambda r: r["v"])
+def fold_maps(observations: DataFrame, column: str, key: str, seq: str = "seq") -> DataFrame:
+    """(key, column): right-biased union of maps, a later value of a name wins. Values meet by
+    (key, name), so a key's observations never meet in one place; entries are in the order of
+    the values that won."""
+    each = observations.select(F.col(key).alias("_k"), F.col(seq).alias("_s"), F.posexplode(F.map_entries(column)).alias("_i", "_e"))
+    last = each.groupBy("_k", F.col("_e.key").alias("_n")).agg(F.max(F.struct("_s", "_i")).alias("_at"), F.max_by("_e.value", "_s").alias("_v"))
+    rows = F.array_sort(F.collect_list(F.struct("_at", "_n", "_v")))
+    return last.groupBy(F.col("_k").alias(key)).agg(F.map_from_entries(F.transform(rows, lambda r: F.struct(r["_n"], r["_v"]))).alias(column))
 
 
-def fold_maps(column: str, seq: str = "seq", kind: str = "map<string,string>") -> Column:
-    """Right-biased union of maps: a later value of a key wins."""
-    start = F.create_map().cast(kind)
-    return F.aggregate(
-        F.filter(in_order(column, seq), lambda m: m.isNotNull()), start,
-        lambda acc, m: F.map_concat(F.map_filter(acc, lambda k, _: ~F.map_contains_key(m, k)), m),
-    )
+def fold_lists(observations: DataFrame, column: str, key: str, seq: str = "seq") -> DataFrame:
+    """(key, column): union of lists in order of first sight; repeats inside one value stay. Items
+    meet by (key, item), nulls are left out."""
+    items = F.col(column)
 
+    def places(item: Column) -> Column:
+        return F.array_compact(F.transform(items, lambda x, i: F.when(x == item, i)))
 
-def fold_lists(column: str, seq: str = "seq") -> Column:
-    """Union in order of first sight; repeats inside one value stay."""
-    return F.aggregate(
-        F.filter(in_order(column, seq), lambda x: x.isNotNull()), F.array().cast("array<string>"),
-        lambda acc, x: F.concat(acc, F.filter(x, lambda u: ~F.array_contains(acc, u))),
-    )
+    told = F.transform(F.array_compact(F.array_distinct(items)), lambda x: F.struct(x.alias("u"), places(x).alias("at")))
+    each = observations.select(F.col(key).alias("_k"), F.col(seq).alias("_s"), F.explode(told).alias("_e"))
+    first = each.groupBy("_k", F.col("_e.u").alias("_u")).agg(F.min("_s").alias("_s"), F.min_by("_e.at", "_s").alias("_at"))
+    rows = first.select("_k", "_s", F.explode("_at").alias("_i"), "_u")
+    ordered = F.array_sort(F.collect_list(F.struct("_s", "_i", "_u")))
+    return rows.groupBy(F.col("_k").alias(key)).agg(F.transform(ordered, lambda r: r["_u"]).alias(column))
 
 
 def fold(observations: DataFrame, key: str = "listing_id", seq: str = "seq") -> DataFrame:
-    """One row a key from listings observed in the order of ``seq``."""
+    """One row a key from listings observed in the order of ``seq``. A null key has no maps or lists."""
     kinds = dict(observations.dtypes)
     aggregates = {c: last_known(c, kinds[c], seq) for c in ROW_COLUMNS if c in kinds and c not in _SPECIAL | {key}}
-    aggregates |= {
-        "url": last_known("url", "string", seq), "is_promoted": F.max_by("is_promoted", seq), "scraped_at": F.min_by("scraped_at", seq),
-        "attributes": fold_maps("attributes", seq), "image_urls": fold_lists("image_urls", seq),
-    }
+    aggregates |= {"url": last_known("url", "string", seq), "is_promoted": F.max_by("is_promoted", seq), "scraped_at": F.min_by("scraped_at", seq)}
     if "detail_fetched" in kinds:
         aggregates["detail_fetched"] = F.max("detail_fetched")
-    order = [c for c in [*ROW_COLUMNS, "detail_fetched"] if c in aggregates]
-    return observations.groupBy(key).agg(*[aggregates[c].alias(c) for c in order])
+    plain = observations.groupBy(key).agg(*[c.alias(name) for name, c in aggregates.items()])
+    joined = plain.join(fold_maps(observations, "attributes", key, seq), key, "left").join(fold_lists(observations, "image_urls", key, seq), key, "left")
+    none = {"attributes": F.create_map().cast("map<string,string>"), "image_urls": F.array().cast("array<string>")}
+    joined = joined.withColumns({c: F.coalesce(c, empty) for c, empty in none.items()})
+    return joined.select(key, *[c for c in [*ROW_COLUMNS, "detail_fetched"] if c in aggregates or c in none])
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: str = "listing_id") -> DataFrame:

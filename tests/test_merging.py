@@ -27,3 +27,44 @@ def test_a_first_zero_is_kept(spark):
 def test_keyed_on_id_not_url(spark):
     rows = observed(spark, {"url": "/en/ad/a?x=1", "title": "a", "seq": 1}, {"url": "/en/ad/a", "seq": 2})
     assert merging.fold(rows).count() == 1
+
+
+def test_folds_of_folds_are_the_fold(spark, tmp_path):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from gleanery.streaming import FoldingSink
+
+    rng = random.Random(4)
+    rows = [
+        {"listing_id": f"k{rng.randrange(3)}", "url": f"u{i}", "title": rng.choice(["", None, f"t{i}"]), "price_value": rng.choice([None, 0.0, float(i)]), "is_promoted": bool(i % 2),
+         "scraped_at": f"t{i:02}", "attributes": {rng.choice("abc"): str(i)}, "image_urls": rng.choices("xyz", k=rng.randrange(4)), "seq": i}
+        for i in range(40)
+    ]
+    whole = observed(spark, *rows)
+    sink = FoldingSink(spark, str(tmp_path))
+    sink.COMPACT = 3
+    for batch in [0, 1, 2, 2, 3, 4]:
+        sink(whole.where(F.col("seq").between(batch * 8, batch * 8 + 7)), batch)
+    assert sorted(p.name for p in tmp_path.glob("base-*")) == ["base-2"]
+
+    def told(df):
+        return sorted(str(r.asDict()) for r in df.select(*[c for c in merging.ROW_COLUMNS if c != "attributes"], F.array_sort(F.map_entries("attributes")).alias("a")).collect())
+
+    assert told(sink.current()) == told(merging.fold(whole))
+
+
+def test_large_dimensions_are_looked_up_by_index(spark, monkeypatch):
+    from gleanery.operators import lookups
+
+    names = [("ab", 3), ("abc", 2), ("abcd", 1), ("xbcd", 0), ("abcdef", 5), ("é", 4), ("", 6)]
+    dimension = spark.createDataFrame(names, "name string, at int")
+    rows = spark.createDataFrame([(t,) for t in ("zabz", "abcdxbcd", "1abcdef", "caf\u00e9", "none", None, "", "a\nb abc")], "t string")
+
+    def found():
+        return sorted(map(str, lookups.theta_lookup(rows, "t", dimension, "name", "at").collect()))
+
+    small = found()
+    monkeypatch.setattr(lookups, "MOST_LITERALS", 2)
+    assert found() == small and "found='xbcd'" in str(small)
