@@ -22,10 +22,10 @@ _LD = """<html><head><link rel="next" href="/en/ads/p?page=2"/><script type="app
 {"@type":"Product","url":"/en/ad/a-<<k>>","name":" <<name>>  x","offers":{"price":"<<price>>","priceCurrency":"LKR"},"areaServed":{"name":"Balangoda, Ratnapura"},"image":["i.jpg"]},
 {"@type":["Thing","Vehicle"],"@id":"https://x.example/en/ad/b-<<k>>","name":"second"},{"@type":"Product","url":"/en/other/c"}]}</script></head><body></body></html>"""
 
-_STATE = """<html><script>window.__INITIAL_STATE__ = {"ads":[{"slug":"s-<<k>>","title":"<<name>>","price":<<price>>,"location":{"name":"Kuruwita"},"timeStamp":"2 days ago","mileage":12,"isFeatured":true},
+STATE = """<html><script>window.__INITIAL_STATE__ = {"ads":[{"slug":"s-<<k>>","title":"<<name>>","price":<<price>>,"location":{"name":"Kuruwita"},"timeStamp":"2 days ago","mileage":12,"isFeatured":true},
 {"url":"/en/ad/t-<<k>>","title":"two","price":{"amount":7,"currency":"Rs"}}]};</script></html>"""
 
-_CARDS = """<html><body><ul><li class="ad-card--x9y8z"><h2><<name>></h2><a href="/en/ad/c-<<k>>?q=1"><img src="/i/1.png"></a><div class="price">Rs <<price>></div>
+CARDS = """<html><body><ul><li class="ad-card--x9y8z"><h2><<name>></h2><a href="/en/ad/c-<<k>>?q=1"><img src="/i/1.png"></a><div class="price">Rs <<price>></div>
 <div class="description">Pelmadulla, Ratnapura</div><div class="updated-time">yesterday</div><span class="top-ad">!</span></li>
 <li class="ad-card--x9y8z"><a href="/en/ad/d-<<k>>" title="from link"></a></li><li class="nav"><a href="/en/ads/all">all</a></li></ul></body></html>"""
 
@@ -57,7 +57,7 @@ _NO_DATE = "NULL::VARCHAR AS posted_at"
     "'json-ld', 'https://x.example/en/ad/b-' || k, 'second', NULL, NULL, NULL, NULL, NULL, NULL, false, 0",
 ))
 def read_linked_data(spark, sf_dir):
-    """SRC-11, JSN-02, JSN-03, FLT-07, STR-06, UDF-01 to UDF-03."""
+    """SRC-11, JSN-02, JSN-03, FLT-07, STR-06, UDF-01, UDF-02."""
     return _results(spark, sf_dir, _LD)
 
 
@@ -67,7 +67,7 @@ def read_linked_data(spark, sf_dir):
 ))
 def read_state(spark, sf_dir):
     """SRC-12, JSN-04, FLT-10, FLT-11."""
-    return _results(spark, sf_dir, _STATE)
+    return _results(spark, sf_dir, STATE)
 
 
 @query(_sql(
@@ -76,7 +76,7 @@ def read_state(spark, sf_dir):
 ))
 def read_cards(spark, sf_dir):
     """HTM-01, FLT-08, WIN-07."""
-    return _results(spark, sf_dir, _CARDS)
+    return _results(spark, sf_dir, CARDS)
 
 
 @query(_sql(
@@ -136,13 +136,13 @@ def json_walk(spark, sf_dir):
 @query(_sql("'https://x.example/en/ads/p?page=' || k AS page_url, 1 AS blob_count, 'ads' AS keys"))
 def state_payloads(spark, sf_dir):
     """AGG-16, LIM-03."""
-    return discovery.payloads(made(spark, sf_dir, _STATE)).select("page_url", "blob_count", F.array_join("top_level_keys", ",").alias("keys"))
+    return discovery.payloads(made(spark, sf_dir, STATE)).select("page_url", "blob_count", F.array_join("top_level_keys", ",").alias("keys"))
 
 
 @query("SELECT 'li[class*=''ad-card'']' AS selector, 'ad-card--x9y8z' AS raw_class, 2 * count(*) AS matches FROM part")
 def learned_cards(spark, sf_dir):
-    """AGG-12, STR-08, UDF-04."""
-    return discovery.learn_cards(made(spark, sf_dir, _CARDS))
+    """AGG-12, STR-08."""
+    return discovery.learn_cards(made(spark, sf_dir, CARDS))
 
 
 @query("""

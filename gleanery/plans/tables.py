@@ -176,7 +176,7 @@ WITH e AS (SELECT user_id, event_id AS seq, CASE event_id % 3 WHEN 0 THEN event_
   coalesce(arg_max(price, seq) FILTER (price <> 0), CASE WHEN arg_min(coalesce(price, -1), seq) = 0 THEN 0 END) AS price_value,
   arg_max(promoted, seq) AS is_promoted, 't' || lpad(min(seq)::VARCHAR, 9, '0') AS scraped_at FROM e GROUP BY user_id""")
 def merge_fold(spark, sf_dir):
-    """AGG-10, JON-06, JON-12, SNK-01, STM-03. A first title that is null shows as ~."""
+    """AGG-10, JON-06, SNK-01, STM-03. A first title that is null shows as ~."""
     out = merging.fold(_observations(spark, sf_dir))
     return out.select("listing_id", F.coalesce("title", F.lit("~")).alias("title"), "price_value", "is_promoted", "scraped_at")
 
@@ -265,7 +265,7 @@ def best_strategy(spark, sf_dir):
 # Reports
 
 
-def _listings(spark, sf_dir):
+def stored_listings(spark, sf_dir):
     """Customers as stored listings."""
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     k = F.col("c_custkey")
@@ -281,7 +281,7 @@ def _listings(spark, sf_dir):
     return merging.complete(rows).withColumn("detail_fetched", (F.col("listing_id").cast("long") % 4 == 0).cast("int"))
 
 
-_LISTINGS = """
+LISTINGS = """
 WITH l AS (SELECT c_custkey AS k, lpad(c_custkey::VARCHAR, 16, '0') AS listing_id, '/en/ad/' || c_custkey AS url, c_name AS title, CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS price_value,
   c_mktsegment AS category, CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE n_name END AS town, CASE WHEN c_custkey % 2 = 0 THEN 'Kandy' END AS district,
   CASE WHEN c_custkey % 5 <> 0 THEN 's' || (c_custkey % 4) END AS extracted_by, 't' || lpad((c_custkey * 7919 % 1009)::VARCHAR, 6, '0') AS scraped_at, (c_custkey % 4 = 0)::INT AS detail_fetched
@@ -289,19 +289,19 @@ WITH l AS (SELECT c_custkey AS k, lpad(c_custkey::VARCHAR, 16, '0') AS listing_i
 """
 
 
-@query(_LISTINGS + """SELECT 'total' AS section, 'listings' AS key, count(*) AS n FROM l UNION ALL SELECT 'total', 'with_detail', count(*) FILTER (detail_fetched = 1) FROM l
+@query(LISTINGS + """SELECT 'total' AS section, 'listings' AS key, count(*) AS n FROM l UNION ALL SELECT 'total', 'with_detail', count(*) FILTER (detail_fetched = 1) FROM l
 UNION ALL SELECT 'total', 'with_price', count(price_value) FROM l UNION ALL SELECT 'total', 'pages_visited', (SELECT count(*) FROM pages)
 UNION ALL SELECT 'town', coalesce(nullif(town, ''), '(unknown)'), count(*) FROM l GROUP BY 2 UNION ALL SELECT 'category', coalesce(nullif(category, ''), '(unknown)'), count(*) FROM l GROUP BY 2
 UNION ALL SELECT 'strategy', coalesce(nullif(extracted_by, ''), '(unknown)'), count(*) FROM l GROUP BY 2""")
 def stats_report(spark, sf_dir):
     """AGG-01 to AGG-05, FLT-04, SRT-03."""
-    return reporting.stats(_listings(spark, sf_dir), table(spark, sf_dir, "pages"))
+    return reporting.stats(stored_listings(spark, sf_dir), table(spark, sf_dir, "pages"))
 
 
-@query(_LISTINGS + "SELECT town, category, count(*) AS n, round(avg(price_value)) AS mean_price FROM l WHERE price_value > 0 GROUP BY town, category")
+@query(LISTINGS + "SELECT town, category, count(*) AS n, round(avg(price_value)) AS mean_price FROM l WHERE price_value > 0 GROUP BY town, category")
 def town_category_sql(spark, sf_dir):
     """AGG-06: the documented report, in SQL."""
-    return reporting.mean_price_by_town(_listings(spark, sf_dir))
+    return reporting.mean_price_by_town(stored_listings(spark, sf_dir))
 
 
 @query("SELECT p_type AS key, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, key LIMIT 25")
@@ -310,49 +310,49 @@ def topk_categories(spark, sf_dir):
     return reporting.counts_by(table(spark, sf_dir, "part"), "p_type", 25)
 
 
-@query(_LISTINGS + "SELECT url FROM l WHERE detail_fetched = 0 ORDER BY scraped_at, url LIMIT 100")
+@query(LISTINGS + "SELECT url FROM l WHERE detail_fetched = 0 ORDER BY scraped_at, url LIMIT 100")
 def ordered_pending(spark, sf_dir):
     """SRT-02, FLT-02, JON-13."""
-    return reporting.pending_details(_listings(spark, sf_dir), 100)
+    return reporting.pending_details(stored_listings(spark, sf_dir), 100)
 
 
-@query(_LISTINGS + "SELECT listing_id, url, title FROM l WHERE district = 'Kandy'")
+@query(LISTINGS + "SELECT listing_id, url, title FROM l WHERE district = 'Kandy'")
 def district_scan(spark, sf_dir):
     """SRC-13, FLT-01, SRT-01, PRJ-07."""
-    return reporting.scan(_listings(spark, sf_dir), "Kandy").select("listing_id", "url", "title")
+    return reporting.scan(stored_listings(spark, sf_dir), "Kandy").select("listing_id", "url", "title")
 
 
-@query(_LISTINGS + "SELECT listing_id, title FROM l WHERE url = '/en/ad/17'")
+@query(LISTINGS + "SELECT listing_id, title FROM l WHERE url = '/en/ad/17'")
 def point_lookup(spark, sf_dir):
     """SRC-14."""
-    return reporting.lookup(_listings(spark, sf_dir), "/en/ad/17").select("listing_id", "title")
+    return reporting.lookup(stored_listings(spark, sf_dir), "/en/ad/17").select("listing_id", "title")
 
 
-@query(_LISTINGS + """SELECT listing_id, title || ' | ' || category AS image_urls, CASE WHEN k % 3 = 0 THEN '"v' || (k % 10) || '"' END AS attr_key_0,
+@query(LISTINGS + """SELECT listing_id, title || ' | ' || category AS image_urls, CASE WHEN k % 3 = 0 THEN '"v' || (k % 10) || '"' END AS attr_key_0,
 CASE WHEN k % 3 = 1 THEN '"v' || (k % 10) || '"' END AS attr_key_1, CASE WHEN k % 3 = 2 THEN '"v' || (k % 10) || '"' END AS attr_key_2 FROM l""")
 def attr_pivot(spark, sf_dir):
     """PRJ-05, PRJ-06, SRT-05, STR-10: attributes as columns, found in the data."""
-    flat = writers.flatten(_listings(spark, sf_dir))
+    flat = writers.flatten(stored_listings(spark, sf_dir))
     return flat.select("listing_id", "image_urls", *[c for c in flat.columns if c.startswith("attr_")])
 
 
-@query(_LISTINGS + """SELECT listing_id, '{"Key ' || (k % 3) || '":"\\"v' || (k % 10) || '\\""}' AS attributes FROM l""")
+@query(LISTINGS + """SELECT listing_id, '{"Key ' || (k % 3) || '":"\\"v' || (k % 10) || '\\""}' AS attributes FROM l""")
 def plain_rows(spark, sf_dir):
     """PRJ-01, JSN-01: nested values as JSON text."""
-    return writers.plain(_listings(spark, sf_dir)).select("listing_id", "attributes")
+    return writers.plain(stored_listings(spark, sf_dir)).select("listing_id", "attributes")
 
 
-@query(_LISTINGS + "SELECT listing_id, greatest(detail_fetched, (k % 6 = 0)::INT) AS detail_fetched FROM l")
+@query(LISTINGS + "SELECT listing_id, greatest(detail_fetched, (k % 6 = 0)::INT) AS detail_fetched FROM l")
 def mark_details(spark, sf_dir):
     """SNK-09."""
-    rows = _listings(spark, sf_dir)
+    rows = stored_listings(spark, sf_dir)
     return merging.mark_detail(rows, rows.where(F.col("listing_id").cast("long") % 6 == 0).select("url")).select("listing_id", "detail_fetched")
 
 
-@query(_LISTINGS + "SELECT listing_id, url, NULL::VARCHAR AS seller_name, detail_fetched FROM l")
+@query(LISTINGS + "SELECT listing_id, url, NULL::VARCHAR AS seller_name, detail_fetched FROM l")
 def migrated_layout(spark, sf_dir):
     """SNK-10: an older layout gains the columns it lacks."""
-    old = _listings(spark, sf_dir).select("listing_id", "url", "detail_fetched", F.lit(1).alias("dropped"))
+    old = stored_listings(spark, sf_dir).select("listing_id", "url", "detail_fetched", F.lit(1).alias("dropped"))
     return tables.migrate(old, STORED_LISTING).select("listing_id", "url", "seller_name", "detail_fetched")
 
 
