@@ -6,7 +6,7 @@ A line's tokens are its distinct words. A line goes if an earlier line, in the o
 1. Equal lines are one class; only its first place is looked at further. A document carries
    one byte a line (a mask) of its first places, and is staged once, bucketed by document.
    Every later step reads its words there, so that texts are shuffled once in all.
-2. Rarity: tokens are counted in ``BUCKETS`` hashed buckets; a token's level is the
+2. Rarity: tokens are counted in hashed buckets, ``BUCKET_BITS`` bits of them; a token's level is the
    logarithm of its bucket's count. Tokens are ordered by (level, hash), rarest first.
 3. Prefix filter: similar sets share one of their first n - ceil(0.8 n) + 1 tokens, that of
    the smaller set among its first n - ceil(8/9 n) + 1. Length and positional filters sit in
@@ -41,7 +41,7 @@ from .words import SPACE
 
 #: Similarity as a fraction, 4 / 5.
 NUM, DEN = 4, 5
-BUCKETS = 1 << 20
+BUCKET_BITS = 20
 SLICES = 2
 HEAD = 6
 #: Groups of tokens this frequent, as a power of two, are split where variants are settled.
@@ -115,13 +115,15 @@ def _hash(word: Column) -> Column:
     return F.xxhash64(word)
 
 
+def _bucket(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - BUCKET_BITS)
+
+
 def rarity(classes: DataFrame) -> bytes:
-    """One byte a bucket: the level of its count. ``BUCKETS`` bytes, whatever the input."""
+    """One byte a bucket: the level of its count. ``1 << BUCKET_BITS`` bytes, whatever the input."""
     spark = classes.sparkSession
-    ones = classes.select(F.explode(F.split("words", " ")).alias("w")).select(
-        F.pmod(_hash(F.col("w")), F.lit(BUCKETS)).alias("b"), F.lit(1).cast("long").alias("n")
-    )
-    none = spark.range(BUCKETS).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n"))
+    ones = classes.select(F.explode(F.split("words", " ")).alias("w")).select(_bucket(_hash(F.col("w"))).alias("b"), F.lit(1).cast("long").alias("n"))
+    none = spark.range(1 << BUCKET_BITS).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n"))
     counts = ones.unionByName(none).groupBy("b").agg(F.sum("n").alias("n"))
     level = F.least(F.lit(90), F.floor(F.log2(F.col("n") + 1) * 3)).cast("int")
     grouped = counts.groupBy(F.expr(f"b div {_GROUP}").alias("g")).agg(F.sort_array(F.collect_list(F.struct("b", level.alias("v")))).alias("vs"))
@@ -135,7 +137,8 @@ def fronts(classes: DataFrame, levels: bytes) -> DataFrame:
     table = F.lit(levels)
 
     def token(h: Column) -> Column:
-        level = F.ascii(F.substring(table, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int"), F.lit(1)).cast("string")).cast("long")
+        # Positions count from 1, and 0 is the first one too: the first bucket is read as the second, by all.
+        level = F.ascii(F.substring(table, _bucket(h).cast("int"), F.lit(1)).cast("string")).cast("long")
         return F.shiftleft(level, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
     def shift(bit: Column, by: Column) -> Column:

@@ -47,14 +47,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def stage_bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """Like ``stage``, in as many buckets by ``keys`` as shuffles have partitions: later
-    joins on ``keys`` move the other side only."""
+    joins on ``keys`` move the other side only. The catalog entry that buckets need is there
+    while the table is written and opened, no longer."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    table = f"gleanery_{name.replace('-', '_')}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, *keys).saveAsTable(table)
-    out = spark.table(table)
-    out._staged, out._table = path, table
+    try:
+        df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, *keys).saveAsTable(table)
+        out = spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # an external table: its files stay
+    out._staged = path
     return out
 
 
@@ -69,8 +73,6 @@ def release(spark: SparkSession) -> None:
 
 def unstage(df: DataFrame) -> None:
     """Delete a staged table that nothing will read again."""
-    if table := getattr(df, "_table", None):
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     _delete(df.sparkSession, df._staged)
 
 

@@ -134,7 +134,7 @@ def brute_lines(rows):
 
 
 def test_line_dedup_against_brute_force(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(60)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
     got = {r["doc_id"]: r["text"] for r in op6_line_dedup.dedup(spark.createDataFrame(rows, docs.schema)).collect()}
     assert got == brute_lines(rows)
@@ -156,6 +156,43 @@ def test_variants_of_one_line_fall_to_the_first(spark):
     assert [r["row"]["doc_id"] for r in got] == [0]
 
 
+def line_rows(spark, rows):
+    return {r["doc_id"]: r["text"] for r in op6_line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_a_common_line_and_its_variants(spark):
+    import random
+
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(30)]
+    rows = []
+    for i in range(400):
+        own = list(words)
+        for k in rng.sample(range(30), rng.choice([0, 1, 2, 3, 5, 8])):
+            own[k] = rng.choice(["x", "y", f"new{i}"])
+        shared = "the same line stands in every document" if i % 3 else "the  same line stands in every document "
+        rows.append((i, f"{shared}\n{' '.join(own)}\n{' '.join(words[:10 + i % 20])}"))
+    assert line_rows(spark, rows) == brute_lines(rows)
+
+
+def test_a_text_of_many_lines(spark):
+    rows = [(1, "\n".join(f"line {i % 6000} of {i % 6000} and {i % 7}" for i in range(20_000))), (2, "line 5 of 5 and 5\n\nlast " + "word " * 30_000)]
+    got = line_rows(spark, rows)
+    # one word of five is the number that tells two lines apart, so equal sets and equal lines only are similar
+    seen, kept = set(), []
+    for line in rows[0][1].split("\n"):
+        words = frozenset(line.split())
+        if words not in seen:
+            kept.append(line)
+        seen.add(words)
+    assert len(got[1].split("\n")) <= len(kept) and got[1].split("\n")[0] == kept[0] and got[2].startswith("\nlast word")
+
+
+def test_nothing_is_left_in_the_catalog(spark, odd):
+    op6_line_dedup.dedup(odd).count()
+    assert not [t.name for t in spark.catalog.listTables() if "gleanery" in t.name]
+
+
 @pytest.mark.parametrize("run", [op3_exact_dedup.classes, op10_mixing.plan_mix, op10_mixing.mix, op6_line_dedup.dedup])
 def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], KINDS)).count() == 0
