@@ -25,6 +25,7 @@ Defined edge cases
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,9 @@ SHINGLE = 4
 BITS = 4
 SEED = 42
 SMALL = 128
+#: Near copies of whole texts (``representatives``): similarity on windows, and fingerprints searched.
+SIMILARITY = 0.8
+TABLES = 4
 _LOW = 0xFFFFFFFF
 _COLUMN = (np.arange(8) * 256).astype(np.int64)
 _SET = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -70,14 +74,13 @@ def simhash(text: str | None, size: int = SHINGLE) -> int:
 def _batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.fromiter((simhash(t.as_py(), size) for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], ["doc_id", "fp", "key"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, key: Column | None = None) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) and ``key`` (text, null if none is given), for every row."""
-    own = F.lit(None) if key is None else key
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), own.cast("string").alias("key"))
-    return slim.mapInArrow(lambda it: _batches(it, size), "doc_id long, fp long, key string")
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), for every row."""
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return slim.mapInArrow(lambda it: _batches(it, size), "doc_id long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -135,10 +138,9 @@ def links(prints: DataFrame, small: int = SMALL) -> DataFrame:
     return direct.unionByName(starred)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, small: int = SMALL, key: Column | None = None) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (least id reachable over links), root (the
-    least fingerprint reachable, there for components without an id too), key (as given)."""
-    prints = stage(fingerprints(docs, text, doc_id, size, key), "fingerprints")
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, small: int = SMALL) -> DataFrame:
+    """One row per document: doc_id, fp, component_id (least id reachable over links)."""
+    prints = stage(fingerprints(docs, text, doc_id, size), "fingerprints")
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes.select("fp"), small))
     rooted = stage(
@@ -146,22 +148,97 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         "rooted",
     )
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = rooted.join(ids, "root").select("fp", "component_id", "root")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id", "root", "key")
+    by_print = rooted.join(ids, "root").select("fp", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each component: that with the least id, null ids last.
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def word_prints(words: list[bytes], tables: int) -> bytes:
+    """``tables`` independent fingerprints (8 bytes each) of the set of a text's words."""
+    distinct = set(words)
+    if not distinct:
+        return bytes(8 * tables)
+    seeds = range(SEED, SEED + (tables + 1) // 2)  # a hash is wide enough for two tables
+    digest = xxhash.xxh3_128_digest
+    hashes = np.frombuffer(b"".join([digest(w, s) for w in distinct for s in seeds]), np.uint8).reshape(len(distinct), -1)[:, : 8 * tables]
+    columns = np.arange(8 * tables) * 256
+    counts = np.bincount((hashes + columns).ravel(), minlength=256 * 8 * tables).reshape(-1, 256) @ _SET
+    return np.packbits(2 * counts.ravel() > len(distinct)).tobytes()
+
+
+def _print_batches(batches: Iterator[pa.RecordBatch], tables: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, key, class (a hash of the words in order), one column of fingerprints a table."""
+    for batch in batches:
+        texts = [words_of(t.as_py()) for t in batch.column(1)]
+        classes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(w), SEED) for w in texts), np.uint64, len(texts)).view(np.int64)
+        prints = np.frombuffer(b"".join([word_prints(w, tables) for w in texts]), ">i8").astype(np.int64).reshape(len(texts), tables)
+        arrays = [batch.column(0), batch.column(2), pa.array(classes), *(pa.array(np.ascontiguousarray(prints[:, t])) for t in range(tables))]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "class", *(f"f{t}" for t in range(tables))])
+
+
+def _gram_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """class, grams: the distinct hashes of a text's windows."""
+    for batch in batches:
+        grams = [sorted({xxhash.xxh64_intdigest(g, SEED) - (1 << 63) for g in shingles(t.as_py(), size)}) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.list_(pa.int64()))], ["class", "grams"])
+
+
+def near_links(classes: DataFrame, tables: int, small: int = SMALL) -> DataFrame:
+    """Pairs (u, v) of classes (class, f0, f1, ...) whose fingerprints of some table are within 4 bits,
+    enough of them to connect all that are, by each fingerprint's least class."""
+    parts = []
+    for t in range(tables):
+        named = stage(classes.groupBy(F.col(f"f{t}").alias("fp")).agg(F.min("class").alias("least")), "named")
+        near = stage(links(named.select("fp"), small), "links")
+        release(classes.sparkSession)
+        u, v = (named.select(F.col("fp").alias(c), F.col("least").alias(f"{c}_least")) for c in ("u", "v"))
+        parts.append(near.join(u, "u").join(v, "v").select(F.col("u_least").alias("u"), F.col("v_least").alias("v")))
+        same = classes.select("class", F.col(f"f{t}").alias("fp")).join(named, "fp").where("class != least")
+        parts.append(same.select(F.col("class").alias("u"), F.col("least").alias("v")))
+    pairs = reduce(DataFrame.unionByName, parts)
+    return stage(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "near")
+
+
+def similar_links(near: DataFrame, rows: DataFrame, keys: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Of the pairs (u, v) those whose texts have a Jaccard similarity of ``similarity`` on windows of
+    ``size`` words. ``rows``: key, text; ``keys``: class and the key of one of its rows."""
+    ends = near.select(F.col("u").alias("class")).unionByName(near.select(F.col("v").alias("class"))).distinct()
+    wanted = stage(ends.join(keys, "class").select("class", "key"), "ends")
+    texts = rows.join(wanted, "key").dropDuplicates(["class"]).select("class", "text")
+    grams = stage(texts.mapInArrow(lambda it: _gram_batches(it, size), "class long, grams array<long>"), "grams")
+    u, v = (grams.select(F.col("class").alias(c), F.col("grams").alias(f"{c}_grams")) for c in ("u", "v"))
+    both = F.size(F.array_intersect("u_grams", "v_grams"))
+    either = F.size("u_grams") + F.size("v_grams") - both
+    return near.join(u, "u").join(v, "v").where(both >= F.lit(similarity) * either - 1e-9).select("u", "v")
+
+
+def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, similarity: float = SIMILARITY,
+                    tables: int = TABLES, small: int = SMALL) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that with the least id, null ids last.
+
+    Near copies have a Jaccard similarity of ``similarity`` on windows of ``size`` words. One
+    changed word changes ``size`` windows but one word of a text, so they are searched by
+    ``tables`` independent fingerprints of their sets of words, each within 4 bits, and the links
+    found are then verified on the windows.
 
     Rows are told apart by id and text together, so rows without an id, and unlike texts under
-    one id, are each judged on their own. Of rows that share both, one is left. Copies are
-    combined before they are shuffled.
+    one id, are each judged on their own. Of rows that share both, one is left. Texts without
+    words are one group. Copies are combined before they are shuffled.
     """
     parts = [F.coalesce(F.concat(F.lit(mark), F.col(c).cast("string")), F.lit("-")) for mark, c in (("i", doc_id), ("t", text))]
     key = F.sha2(F.concat(parts[0], F.lit(":"), parts[1]), 256)
-    found = near_duplicates(docs, text, doc_id, size, key=key)
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), key.alias("key"))
+    kinds = "doc_id long, key string, class long, " + ", ".join(f"f{t} long" for t in range(tables))
+    found = stage(slim.mapInArrow(lambda it: _print_batches(it, tables), kinds), "word-prints")
+    classes = stage(found.groupBy("class").agg(F.min("key").alias("key"), *[F.min(f"f{t}").alias(f"f{t}") for t in range(tables)]), "classes")
+    linked = similar_links(near_links(classes, tables, small), slim.select("key", "text"), classes.select("class", "key"), size, similarity)
+    roots = components(linked).withColumnRenamed("node", "class")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
-    stays = found.groupBy("root").agg(first.alias("first")).select("first.key")
+    rooted = found.select("doc_id", "key", "class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    stays = rooted.groupBy("root").agg(first.alias("first")).select("first.key")
     rows = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row")).dropDuplicates(["key"])
     return rows.join(stays, "key", "left_semi").select("row.*")
 
