@@ -8,7 +8,7 @@ import sys
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import dims
@@ -23,11 +23,6 @@ def _engine(spark: SparkSession, args: argparse.Namespace) -> Engine:
     return Engine(args.db, read_settings(args.config) if getattr(args, "config", None) else None, spark)
 
 
-def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    tables.register(spark)
-    return spark.read.format("raw_pages").load(folder)
-
-
 def _now() -> str:
     return datetime.now(UTC).isoformat(timespec="seconds")
 
@@ -52,7 +47,7 @@ def import_table(spark: SparkSession, args: argparse.Namespace) -> int:
 def extract(spark: SparkSession, args: argparse.Namespace) -> int:
     engine = _engine(spark, args)
     found = pages.to_listings(
-        pages.reads(_pages(spark, args.folder), args.details, engine.settings["learned_selectors"]), F.current_timestamp(), F.lit(_now())
+        pages.reads(tables.saved_pages(spark, args.folder), args.details, engine.settings["learned_selectors"]), F.current_timestamp(), F.lit(_now())
     ).persist()
     best = choosing.merge_details(found) if args.details else choosing.best_reads(found)
     extra = {"seq": F.monotonically_increasing_id(), "detail_fetched": F.lit(int(args.details))}
@@ -65,7 +60,7 @@ def extract(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def crawl(spark: SparkSession, args: argparse.Namespace) -> int:
     engine = _engine(spark, args)
-    print(engine.crawl(_pages(spark, args.folder), False if args.no_details else None, lambda message: print(message, file=sys.stderr)))
+    print(engine.crawl(tables.saved_pages(spark, args.folder), False if args.no_details else None, lambda message: print(message, file=sys.stderr)))
     return 0
 
 
@@ -90,7 +85,7 @@ def stats(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def discover(spark: SparkSession, args: argparse.Namespace) -> int:
-    raw = _pages(spark, args.folder).persist()
+    raw = tables.saved_pages(spark, args.folder).persist()
     reads = pages.reads(raw)
     cards = [r.asDict() for r in discovery.learn_cards(raw).collect()]
     settings = Settings(categories=discovery.categories(pages.links(raw)), learned_selectors={"card": cards[0]["selector"]} if cards else {})

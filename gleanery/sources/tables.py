@@ -34,6 +34,19 @@ def decode(rows: DataFrame) -> DataFrame:
     })
 
 
+def saved_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """(url, status, html) of a folder of saved pages on any file system that Spark reads: ``<name>.html``
+    and, beside it, ``<name>.url`` with the page's address, without which the file's name stands for it."""
+
+    def files(suffix: str) -> DataFrame:
+        read = spark.read.text(folder, wholetext=True, pathGlobFilter=f"*.{suffix}")
+        return read.select(F.regexp_replace(F.input_file_name(), rf"\.{suffix}$", "").alias("_name"), F.col("value").alias(suffix))
+
+    both = files("html").join(files("url"), "_name", "left")
+    address = F.coalesce(F.nullif(F.btrim("url", F.lit(" \t\r\n")), F.lit("")), F.col("_name"))
+    return both.select(address.alias("url"), F.lit(200).alias("status"), "html")
+
+
 class RawPages(DataSource):
     """``spark.read.format("raw_pages").load(folder)``: saved pages as (url, status, html, from_cache).
 

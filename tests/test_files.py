@@ -83,6 +83,19 @@ def test_raw_pages(spark, tmp_path):
     assert [tuple(r) for r in spark.read.format("raw_pages").load(str(tmp_path)).collect()] == [("https://x.example/a", 200, "<p>a</p>", True)]
 
 
+def test_saved_pages(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<p>a</p>\n<p>b</p>")
+    (tmp_path / "a.url").write_text("https://x.example/a\n")
+    (tmp_path / "b.html").write_text("")
+    rows = {r["url"]: r["html"] for r in tables.saved_pages(spark, str(tmp_path)).collect()}
+    assert rows["https://x.example/a"] == "<p>a</p>\n<p>b</p>" and sum(u.endswith("/b") for u in rows) == len(rows) - 1
+
+
+def test_too_many_attributes_stay_json(listings, monkeypatch):
+    monkeypatch.setattr(writers, "MOST_COLUMNS", 2)
+    assert writers.flatten(listings).columns[-5:] != [] and "attributes" in writers.flatten(listings).columns
+
+
 def test_command_line(spark, tmp_path, capsys):
     md, db = tmp_path / "t.md", str(tmp_path / "db")
     md.write_text("| Title | Size | Price | Location |\n|---|---|---|---|\n| Land at Galle | 5 perches | Rs 90,000 / perch | Galle |\n")
