@@ -10,8 +10,8 @@
    the shuffle, so a text that a third of all rows share costs one row a task.
 4. Owner tasks hold ranges of (bucket, key). They chain up the texts of each key and write
    the index files, one entry a text, in the order of the keys.
-5. The slim entries look up their bucket by slot, and in it their group; that join may be
-   split where a key is hot.
+5. The slim entries look up their bucket by slot, and in it their group; rows of groups of
+   many copies meet a broadcast of these groups, whose number is counted.
 
 Defined edge cases
 * null text counts as empty; empty and blank texts are one group
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import attach
+from .lookup import attach, join_counted
 from .staging import new_folder, stage
 from .words import SPACE, as_text
 
@@ -127,7 +127,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", capacit
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, bucket."""
     entries, index = build_index(docs, text, doc_id, capacity)
     found = index.select("bucket", "key", "sha", "n", "keep_id", F.col("cp").alias("keep_cp"))
-    return entries.join(found, ["bucket", "key", "sha"]).select(
+    return join_counted(entries, found, ["bucket", "key", "sha"], "n").select(
         "doc_id", "keep_id", F.col("n").alias("group_size"),
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("cp") == F.col("keep_cp"))).alias("kept"),
         F.col("sha").alias("text_sha256"), "bucket",

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
+from .lookup import join_counted
 from .staging import release, stage
 
 SHINGLE = 4
@@ -141,15 +142,15 @@ def links(prints: DataFrame, small: int = SMALL) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, small: int = SMALL) -> DataFrame:
     """One row per document: doc_id, fp, component_id (least id reachable over links)."""
     prints = stage(fingerprints(docs, text, doc_id, size), "fingerprints")
-    classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
+    classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "classes")
     roots = components(links(classes.select("fp"), small))
     rooted = stage(
-        classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")),
+        classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root")),
         "rooted",
     )
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = rooted.join(ids, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = stage(rooted.join(ids, "root").select("fp", "n", "component_id"), "by-print")
+    return join_counted(prints, by_print, ["fp"], "n").select("doc_id", "fp", "component_id")
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleanery.llm import boosting, components, op1_packing, op2_quality, op4_simhash, op5_url_filter, op7_fertility, op8_brown_lm, op9_token_rollup, vocab
+from gleanery.llm import boosting, components, lookup, op1_packing, op2_quality, op4_simhash, op5_url_filter, op7_fertility, op8_brown_lm, op9_token_rollup, vocab
 from gleanery.llm.staging import clear, shared_root, stage
 
 ODD = [
@@ -172,6 +172,11 @@ def test_simhash_against_brute_force(docs):
     check_simhash(op4_simhash.near_duplicates(docs).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_simhash_of_hot_fingerprints(odd, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT", 1)
+    check_simhash(op4_simhash.near_duplicates(odd).collect(), [(i, t) for i, t, *_ in ODD])
+
+
 def test_simhash_of_odd_rows(odd):
     check_simhash(op4_simhash.near_duplicates(odd).collect(), [(i, t) for i, t, *_ in ODD])
 

@@ -46,6 +46,15 @@ def test_exact_dedup_of_odd_rows(odd):
     assert all(r["kept"] == (r["doc_id"] == r["keep_id"]) for r in got if r["doc_id"] not in (None,))
 
 
+def test_hot_groups_are_joined_apart(odd, monkeypatch):
+    def found():
+        return sorted(map(str, op3_exact_dedup.classes(odd, capacity=2).collect()))
+
+    whole = found()
+    monkeypatch.setattr(lookup, "HOT", 1)
+    assert found() == whole
+
+
 def test_buckets_split_until_they_fit():
     counts = {0: 5, 1: 5, 2: 1, 0xFF: 9}
     fit, full = op3_exact_dedup.split_buckets(0, 0, 8, counts, 5)
