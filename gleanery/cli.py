@@ -85,16 +85,9 @@ def stats(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def discover(spark: SparkSession, args: argparse.Namespace) -> int:
-    raw = tables.saved_pages(spark, args.folder).persist()
-    reads = pages.reads(raw)
-    cards = [r.asDict() for r in discovery.learn_cards(raw).collect()]
-    settings = Settings(categories=discovery.categories(pages.links(raw)), learned_selectors={"card": cards[0]["selector"]} if cards else {})
-    write_settings(settings, args.config)
-    report = {
-        "strategies": {r["strategy"]: r["n"] for r in choosing.strategy_counts(reads).collect()},
-        "card_candidates": cards, "categories": settings["categories"],
-        "payloads": [r.asDict() for r in discovery.payloads(raw).where("blob_count > 0").limit(discovery.SAMPLES).collect()],
-    }
+    report = discovery.report(tables.saved_pages(spark, args.folder).persist())
+    cards = report["card_candidates"]
+    write_settings(Settings(categories=report["categories"], learned_selectors={"card": cards[0]["selector"]} if cards else {}), args.config)
     told = json.dumps(report, indent=2, ensure_ascii=False)
     Path(args.report).parent.mkdir(parents=True, exist_ok=True)
     Path(args.report).write_text(told, encoding="utf-8")

@@ -55,3 +55,16 @@ def best_probe(probes: DataFrame) -> DataFrame:
 
 def samples(reads: DataFrame, n: int = SAMPLES) -> DataFrame:
     return reads.where(F.col("pos") < n).select("page_url", "url", "title", "price_text", "location_text", "posted_text")
+
+
+def report(pages: DataFrame, locale: str = "en") -> dict:
+    """What a first look tells, as one object: strategies, card candidates, categories, payloads. Each
+    part is bounded, whatever the pages."""
+    reads = P.reads(pages)
+    counts = reads.groupBy("strategy").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {
+        "strategies": {r["strategy"]: r["n"] for r in counts},
+        "card_candidates": [r.asDict() for r in learn_cards(pages).collect()],
+        "categories": categories(P.links(pages), locale),
+        "payloads": [r.asDict() for r in payloads(pages).where("blob_count > 0").limit(SAMPLES).collect()],
+    }

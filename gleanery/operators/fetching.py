@@ -53,3 +53,18 @@ def answered(wanted: DataFrame, cached: DataFrame, permitted: DataFrame) -> Data
     may = permitted.select("url").distinct().withColumn("_may", F.lit(True))
     joined = wanted.select("url").join(copies, "url", "left").join(may, "url", "left")
     return joined.select("url", F.when(F.col("_copy"), "cache").when(F.col("_may"), "site").otherwise("robots").alias("source"))
+
+
+def paced(requests: DataFrame, interval: Column, site: str = "site", asked: str = "asked", order: str = "ord") -> DataFrame:
+    """Adds ``started`` and ``waited``, in seconds: a request starts ``interval`` after the one before it
+    on its site, or when it is asked for, if that is later.
+
+    The n-th start is the latest of all asked times so far, each moved on by the requests since; so a
+    running maximum gives it, without a loop. ``interval`` is the larger of the run's delay and the
+    site's own, and constant per site.
+    """
+    w = Window.partitionBy(site).orderBy(order)
+    lead = F.row_number().over(w) * interval
+    numbered = requests.withColumn("_lead", lead)
+    started = F.max(F.col(asked) - F.col("_lead")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("_lead")
+    return numbered.withColumn("started", started).withColumn("waited", F.col("started") - F.col(asked)).drop("_lead")

@@ -12,11 +12,13 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from ..engine import Engine
 from ..functions import text
-from ..operators import choosing, fetching
+from ..operators import choosing, discovery, fetching
 from ..sources import pages as P
 from ..sources import writers
 from ..sources.config import Settings, read_settings, write_settings
+from ..sources.shared import shared_folder
 from .reading import CARDS, STATE, made
 from .registry import query, table
 from .tables import LISTINGS, stored_listings
@@ -155,3 +157,40 @@ def answered_pages(spark, sf_dir):
     named = table(spark, sf_dir, "customer").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"), "c_custkey")
     cached = fetching.cacheable(fetching.outcomes(_attempts(spark, sf_dir)))
     return fetching.answered(named, cached, named.where("c_custkey % 2 = 0"))
+
+
+@query("""
+WITH r AS (SELECT user_id AS site, event_id AS ord, floor(epoch(ts))::BIGINT // 600 AS asked, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+s AS (SELECT *, max(asked - n * (3 + site % 2)) OVER (PARTITION BY site ORDER BY ord ROWS UNBOUNDED PRECEDING) + n * (3 + site % 2) AS started FROM r)
+SELECT site, ord, started::BIGINT AS started, (started - asked)::BIGINT AS waited FROM s
+""")
+def request_pacing(spark, sf_dir):
+    """SRC-04: the larger of the run's delay and the site's own between two requests."""
+    e = table(spark, sf_dir, "events")
+    rows = e.select(F.col("user_id").alias("site"), F.col("event_id").alias("ord"), F.expr("unix_timestamp(cast(ts AS timestamp)) div 600").alias("asked"))
+    return fetching.paced(rows, F.greatest(F.lit(3), 3 + F.col("site") % 2)).select("site", "ord", "started", "waited")
+
+
+@query(LISTINGS + "SELECT 'listings' AS what, count(*) AS n FROM l UNION ALL SELECT 'new', count(*) FROM l UNION ALL SELECT 'updated', (SELECT count(*) FROM l WHERE k % 2 = 0)")
+def engine_round_trip(spark, sf_dir):
+    """UDF-07: a table kept by the engine, upserted twice."""
+    engine = Engine(shared_folder(spark, "engine"), spark=spark)
+    rows = stored_listings(spark, sf_dir).withColumn("seq", F.lit(1).cast("long"))
+    first, _ = engine.upsert(rows)
+    _, again = engine.upsert(rows.where(F.col("listing_id").cast("long") % 2 == 0))
+    told = [("listings", engine.listings.count()), ("new", first), ("updated", again)]
+    return spark.createDataFrame(told, "what string, n long")
+
+
+@query("""
+SELECT 'strategies' AS part, 'selectors' AS name, 2 * count(*) AS n FROM part UNION ALL SELECT 'strategies', 'link-heuristic', 2 * count(*) FROM part
+UNION ALL SELECT 'card_candidates', 'li[class*=''ad-card'']', 2 * count(*) FROM part UNION ALL SELECT 'categories', 'all', 1
+""")
+def discovery_report(spark, sf_dir):
+    """SNK-11: the saved report, read back."""
+    with tempfile.TemporaryDirectory() as folder:
+        path = Path(folder) / "report.json"
+        path.write_text(json.dumps(discovery.report(made(spark, sf_dir, CARDS))))
+        found = json.loads(path.read_text())
+    rows = [("strategies", k, n) for k, n in found["strategies"].items()] + [("card_candidates", c["selector"], c["matches"]) for c in found["card_candidates"]]
+    return spark.createDataFrame(rows + [("categories", c, 1) for c in found["categories"]], "part string, name string, n long")
