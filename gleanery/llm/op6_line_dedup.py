@@ -134,10 +134,10 @@ def rarity(classes: DataFrame) -> bytes:
 def fronts(classes: DataFrame, levels: bytes) -> DataFrame:
     """(uid, id, th, line, n, front, s, e): of each class its rarest tokens, rarest first; s has
     the parity bits of all its tokens, e those of the half of tokens with bit ``_HALF`` set."""
-    table = F.lit(levels)
+    # Positions count from 1, and 0 is the first one too: bucket b is read at position b, the first bucket as the second.
+    table = F.lit(levels[1:])
 
     def token(h: Column) -> Column:
-        # Positions count from 1, and 0 is the first one too: the first bucket is read as the second, by all.
         level = F.ascii(F.substring(table, _bucket(h).cast("int"), F.lit(1)).cast("string")).cast("long")
         return F.shiftleft(level, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 

@@ -197,6 +197,21 @@ def test_a_text_of_many_lines(spark):
     assert len(got[1].split("\n")) <= len(kept) and got[1].split("\n")[0] == kept[0] and got[2].startswith("\nlast word")
 
 
+def test_prefixes_hold_the_rarest_words(spark):
+    from collections import Counter
+
+    lines = [" ".join(["common", "often", f"pair{i // 2}", f"own{i}", *[f"some{i // 40}-{k}" for k in range(6)]]) for i in range(400)]
+    rows = spark.createDataFrame([(i, 0, 0, t) for i, t in enumerate(lines)], "id long, th long, line int, words string")
+    found = op6_line_dedup.fronts(rows, op6_line_dedup.rarity(rows)).select("id", "n", "front").collect()
+    words = {w: n for w, n in Counter(w for t in lines for w in t.split()).items()}
+    hashes = {h: w for w, h in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.shiftrightunsigned(F.xxhash64("w"), 8)).collect()}
+    for r in found:
+        front = [hashes[t & ((1 << 56) - 1)] for t in r["front"]]
+        # three of ten words; a few words share the bucket of a more frequent one
+        assert r["n"] == 10 and len(front) == 3 and "common" not in front and "often" not in front
+    assert sum(f"own{r['id']}" in {hashes[t & ((1 << 56) - 1)] for t in r["front"]} for r in found) > 395
+
+
 def test_nothing_is_left_in_the_catalog(spark, odd):
     op6_line_dedup.dedup(odd).count()
     assert not [t.name for t in spark.catalog.listTables() if "gleanery" in t.name]
