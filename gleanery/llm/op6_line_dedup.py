@@ -22,8 +22,8 @@ A line's tokens are its distinct words. A line goes if an earlier line, in the o
 Defined edge cases
 * null text has no lines and stays null; empty texts stay empty
 * lines without words always stay
-* null ids come last in the order; rows that repeat an id and text share its places, so
-  their lines stand or fall together
+* null ids come last in the order; of rows that repeat an id and text one counts as the first,
+  the lines of the others repeat its lines and go
 * a text of any number of lines costs time in proportion to it: line masks are looked up by
   position; a line of any length is one set
 * empty table: empty result; other columns, whatever their names, are passed through
@@ -90,10 +90,13 @@ def first_places(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def staged_documents(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(row, id, th, firsts) bucketed by document: each row as a struct, and the mask of the
-    lines that are the first of their class."""
+    lines that are the first of their class; of rows that repeat an id and a text one has it."""
     id_, th = _keys(docs, text, doc_id)
     rows = docs.select(F.struct(*docs.columns).alias("row"), id_, th)
-    return stage_bucketed(rows.join(_masks(first_places(docs, text, doc_id), "firsts"), _DOC, "left"), "line-documents", _DOC)
+    joined = rows.join(_masks(first_places(docs, text, doc_id), "firsts"), _DOC, "left")
+    nth = F.row_number().over(Window.partitionBy(*_DOC).orderBy(*_DOC))  # the join has dealt and sorted the rows so
+    led = joined.withColumn("nth", nth).withColumn("firsts", F.when(F.col("nth") == 1, F.col("firsts"))).drop("nth")
+    return stage_bucketed(led, "line-documents", _DOC)
 
 
 def _words(raw: Column) -> Column:
