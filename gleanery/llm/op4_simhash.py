@@ -88,23 +88,23 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _filed(prints: DataFrame) -> DataFrame:
-    """(key, fp): each fingerprint under the radius-1 balls of its two halves."""
+def _filed(prints: DataFrame, by: list[str]) -> DataFrame:
+    """(key, fp, ``by``): each fingerprint under the radius-1 balls of its two halves."""
     flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(32)])
     high, low = F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(F.lit(_LOW))
     ball = F.concat(
         F.transform(flips, lambda m: high.bitwiseXOR(m.cast("long"))),
         F.transform(flips, lambda m: low.bitwiseXOR(m.cast("long")) + F.lit(1 << 32)),
     )
-    return prints.select(F.explode(ball).alias("key"), "fp")
+    return prints.select(F.explode(ball).alias("key"), "fp", *by)
 
 
-def _midpoints(prints: DataFrame) -> DataFrame:
-    """(point, fp): each fingerprint under every value within 2 bits of it."""
+def _midpoints(prints: DataFrame, by: list[str]) -> DataFrame:
+    """(point, fp, ``by``): each fingerprint under every value within 2 bits of it."""
     ones = [1 << i for i in range(64)]
     masks = [0, *ones, *[a | b for i, a in enumerate(ones) for b in ones[i + 1 :]]]
-    table = F.array(*[F.lit(_signed(m)).cast("long") for m in masks])
-    return prints.select(F.explode(F.transform(table, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"), "fp")
+    table = F.from_json(F.lit(str([_signed(m) for m in masks])), "array<long>")  # one literal, folded by the planner
+    return prints.select(F.explode(F.transform(table, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"), "fp", *by)
 
 
 def _first_shared(u: Column, v: Column) -> Column:
@@ -121,21 +121,24 @@ def _first_shared(u: Column, v: Column) -> Column:
     return F.when(F.bit_count(high[0].bitwiseXOR(high[1])) <= 2, middle(*high)).otherwise(middle(*low) + F.lit(1 << 32))
 
 
-def links(prints: DataFrame, small: int = SMALL) -> DataFrame:
-    """Pairs (u, v) of distinct fingerprints within 4 bits that connect all that are."""
+def links(prints: DataFrame, small: int = SMALL, by: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs (u, v, ``by``) of distinct fingerprints within 4 bits that connect all that are. Those
+    that differ in a column of ``by`` don't meet."""
+    by = list(by)
     # Rows are distinct fingerprints, moved once; values that nothing shares end here.
-    counted = _filed(prints).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    counted = _filed(prints, by).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key", *by)))
     members = stage(counted.where("n > 1"), "members")
     release(prints.sparkSession)
     few = members.where(F.col("n") <= small)
-    a, b = few.select("key", F.col("fp").alias("u")), few.select("key", F.col("fp").alias("v"))
+    a, b = few.select("key", F.col("fp").alias("u"), *by), few.select("key", F.col("fp").alias("v"), *by)
     u, v = F.col("u"), F.col("v")
     # Where the value named is a dense one, both fingerprints are among the members below.
     near = (u > v) & (F.bit_count(u.bitwiseXOR(v)) <= BITS) & (a["key"] == _first_shared(u, v))
-    direct = a.join(b, (a["key"] == b["key"]) & near).select("u", "v")
-    points = _midpoints(members.where(F.col("n") > small).select("fp").distinct())
-    least = points.groupBy("point").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    starred = points.join(least, "point").where("fp != v").select(F.col("fp").alias("u"), "v")
+    alike = [a[c] == b[c] for c in ("key", *by)]
+    direct = a.join(b, reduce(lambda x, y: x & y, [*alike, near])).select("u", "v", *[a[c] for c in by])
+    points = _midpoints(members.where(F.col("n") > small).select("fp", *by).distinct(), by)
+    least = points.groupBy("point", *by).agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    starred = points.join(least, ["point", *by]).where("fp != v").select(F.col("fp").alias("u"), "v", *by)
     return direct.unionByName(starred)
 
 
@@ -189,17 +192,17 @@ def _gram_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.R
 
 def near_links(classes: DataFrame, tables: int, small: int = SMALL) -> DataFrame:
     """Pairs (u, v) of classes (class, f0, f1, ...) whose fingerprints of some table are within 4 bits,
-    enough of them to connect all that are, by each fingerprint's least class."""
-    parts = []
-    for t in range(tables):
-        named = stage(classes.groupBy(F.col(f"f{t}").alias("fp")).agg(F.min("class").alias("least")), "named")
-        near = stage(links(named.select("fp"), small), "links")
-        release(classes.sparkSession)
-        u, v = (named.select(F.col("fp").alias(c), F.col("least").alias(f"{c}_least")) for c in ("u", "v"))
-        parts.append(near.join(u, "u").join(v, "v").select(F.col("u_least").alias("u"), F.col("v_least").alias("v")))
-        same = classes.select("class", F.col(f"f{t}").alias("fp")).join(named, "fp").where("class != least")
-        parts.append(same.select(F.col("class").alias("u"), F.col("least").alias("v")))
-    pairs = reduce(DataFrame.unionByName, parts)
+    enough of them to connect all that are, by each fingerprint's least class. All tables are
+    searched at once."""
+    told = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(f"f{t}").alias("fp")) for t in range(tables)])).alias("x")
+    prints = classes.select("class", told).select("class", "x.t", "x.fp")
+    named = stage(prints.groupBy("t", "fp").agg(F.min("class").alias("least")), "named")
+    near = stage(links(named.select("t", "fp"), small, ("t",)), "links")
+    release(classes.sparkSession)
+    u, v = (named.select("t", F.col("fp").alias(c), F.col("least").alias(f"{c}_least")) for c in ("u", "v"))
+    linked = near.join(u, ["t", "u"]).join(v, ["t", "v"]).select(F.col("u_least").alias("u"), F.col("v_least").alias("v"))
+    same = prints.join(named, ["t", "fp"]).where("class != least").select(F.col("class").alias("u"), F.col("least").alias("v"))
+    pairs = linked.unionByName(same)
     return stage(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "near")
 
 
