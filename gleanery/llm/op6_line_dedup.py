@@ -77,7 +77,9 @@ def _marked(mask: Column, line: Column) -> Column:
 
 def _masks(places: DataFrame, name: str) -> DataFrame:
     """(id, th, ``name``): the line numbers of each document's places as a mask, no places: no row."""
-    return places.groupBy(*_DOC).agg(mask_of(F.array_sort(F.collect_set("line"))).cast("binary").alias(name))
+    # Sorted in a step of its own: the mask asks for the numbers again at each of them.
+    numbers = places.groupBy(*_DOC).agg(F.sort_array(F.collect_set("line")).alias("numbers"))
+    return numbers.select(*_DOC, mask_of(F.col("numbers")).cast("binary").alias(name))
 
 
 def first_places(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
