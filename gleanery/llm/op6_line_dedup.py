@@ -36,7 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .staging import release, stage, stage_bucketed, unstage
+from .staging import stage, stage_bucketed, unstage
 from .words import SPACE
 
 #: Similarity as a fraction, 4 / 5.
@@ -202,16 +202,12 @@ def _verified(pairs: DataFrame, table: DataFrame, staged: DataFrame, text: str)
 
 def similar_lines(staged: DataFrame, text: str) -> DataFrame:
     """(id, th, line) of the classes that have a similar class with an earlier first place."""
-    spark = staged.sparkSession
     classes = class_lines(staged, text)
     table = stage_bucketed(fronts(classes, rarity(classes)), "fronts", _DOC)
-    release(spark)
     # 1. variants of one line
     near = stage(_variants(table), "variants")
-    release(spark)
     settled = _verified(near, table, staged, text)
     unstage(near)
-    release(spark)
     # 2. every other class against all earlier ones that share a prefix token
     marks = _masks(settled, "done").hint("shuffle_hash")
     done = F.when(F.col("done").isNull(), F.lit(False)).otherwise(_marked(F.col("done"), F.col("line")))
@@ -233,11 +229,9 @@ def similar_lines(staged: DataFrame, text: str) -> DataFrame:
             & _alike(n, F.col("a.s"), F.col("a.e"), m, F.col("b.s"), F.col("b.e"))
         )
         parts.append(stage(a.join(b, close).select("a.uid", F.col("b.uid").alias("uid2")), "candidates"))
-        release(spark)
     rest = _verified(reduce(DataFrame.unionByName, parts).distinct(), table, staged, text)
     for part in (*parts, table):
         unstage(part)
-    release(spark)
     return settled.unionByName(rest)
 
 
@@ -245,7 +239,6 @@ def deduped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     """(row, lines, removed): each row of ``docs`` as a struct, its text without repeated
     lines, and how many lines it had and lost. Nothing can clash with names inside the row."""
     staged = staged_documents(docs, text, doc_id)
-    release(docs.sparkSession)
     doubled = _masks(similar_lines(staged, text), "doubled").hint("shuffle_hash")
     joined = staged.join(doubled, _DOC, "left")
     own = F.col("row").getField(text).cast("string")

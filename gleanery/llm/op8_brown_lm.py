@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import release, stage, unstage
+from .staging import stage, unstage
 
 #: The least class words and classes; ``sizes`` has more of both for more than ``KNOWN`` words.
 CLASS_WORDS = 1000
@@ -422,7 +422,6 @@ def lexicon_of(table: DataFrame, class_words: int | None = None, known: int = KN
 def word_classes(encoded: DataFrame, lexicon: Lexicon, classes: int) -> tuple[np.ndarray, DataFrame]:
     """Classes of the known words, then of unseen ones and the end; and a staged table
     (w, c, class) of all rare training words."""
-    spark = encoded.sparkSession
     train = encoded.where("not held_out")
     m, n = lexicon.class_words, len(lexicon.counts)
     symbols = np.concatenate([np.minimum(np.arange(n), m), [m + 1, m + 2]])
@@ -442,7 +441,6 @@ def word_classes(encoded: DataFrame, lexicon: Lexicon, classes: int) -> tuple[np
     near = train.select("code", "rare", "places").mapInArrow(partial(_rare_batches, of=of), "w string, near int")
     near = near.groupBy("w").agg(F.collect_list("near").alias("near"))
     rare = stage(near.mapInArrow(partial(_assign_rare, said=said), "w string, c long, class int"), "rare-classes")
-    release(spark)
     once = np.bincount(of[:n][lexicon.counts == 1], minlength=classes)
     for r in rare.where("c = 1").groupBy("class").count().collect():
         once[r["class"]] += r["count"]
@@ -465,11 +463,9 @@ def final_model(filled: DataFrame, rare: DataFrame, of: np.ndarray, lexicon: Lex
 def score(docs: DataFrame, held_out: Column, text: str = "text", doc_id: str = "doc_id", class_words: int | None = None,
           classes: int | None = None, known: int = KNOWN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
-    spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("string").alias("text"))
     counted = slim.where("not held_out").select("text").mapInArrow(_count_batches, "w string, n long")
     table = stage(counted.groupBy("w").agg(F.sum("n").alias("c")), "word-counts")
-    release(spark)
     lexicon = lexicon_of(table, class_words, known)
     classes = classes or sizes(lexicon.distinct)[1]
     unstage(table)
@@ -479,7 +475,6 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", doc_id: str = "
     found = words.join(rare, "w").groupBy("row").agg(F.collect_list(F.struct("j", "c", "class")).alias("found"))
     joined = encoded.select("row", "doc_id", "held_out", "n_tokens", "log_sum", "hits", "code", "places").join(found, "row", "left")
     filled = stage(joined.mapInArrow(partial(_fill_batches, of=of), _FILLED), "filled")
-    release(spark)
     model = final_model(filled, rare, of, lexicon, classes)
     unstage(encoded)
     unstage(rare)

@@ -7,14 +7,15 @@ Parquet, so a lost executor costs a reread, not a recomputation.
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -35,11 +36,24 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/gleanery/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _own_shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """While a staged table is written, Spark deletes each job's shuffle files when the job has
+    ended: the table is what later steps read. Versions without the setting delete them later."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with _own_shuffles_end(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
     return out
@@ -54,7 +68,8 @@ def stage_bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     table = f"gleanery_{name.replace('-', '_')}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, *keys).saveAsTable(table)
+        with _own_shuffles_end(spark):
+            df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, *keys).saveAsTable(table)
         out = spark.table(table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")  # an external table: its files stay
@@ -62,15 +77,6 @@ def stage_bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished jobs. Spark deletes them when the driver
-    collects its garbage, which a driver with a large heap may not do for hours."""
-    for _ in range(2):  # what the first round finds, the second lets go of
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
-
-
 def unstage(df: DataFrame) -> None:
     """Delete a staged table that nothing will read again."""
     _delete(df.sparkSession, df._staged)
