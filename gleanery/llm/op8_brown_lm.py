@@ -472,12 +472,13 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", doc_id: str = "
     encoded = stage(slim.mapInArrow(partial(_encode_batches, lexicon=lexicon), _ENCODED), "encoded")
     of, rare = word_classes(encoded, lexicon, classes)
     words = encoded.select("row", F.posexplode("rare").alias("j", "w"))
-    found = words.join(rare, "w").groupBy("row").agg(F.collect_list(F.struct("j", "c", "class")).alias("found"))
+    # A step of its own, whose shuffles have ended before the texts are moved.
+    found = stage(words.join(rare, "w").groupBy("row").agg(F.collect_list(F.struct("j", "c", "class")).alias("found")), "found")
     joined = encoded.select("row", "doc_id", "held_out", "n_tokens", "log_sum", "hits", "code", "places").join(found, "row", "left")
     filled = stage(joined.mapInArrow(partial(_fill_batches, of=of), _FILLED), "filled")
     model = final_model(filled, rare, of, lexicon, classes)
-    unstage(encoded)
-    unstage(rare)
+    for done in (encoded, rare, found):
+        unstage(done)
     kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, class_part double"
     out = filled.mapInArrow(partial(_class_batches, model=model), kinds).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(lexicon.total).cast("long").alias("train_tokens"),
