@@ -134,10 +134,11 @@ def links(prints: DataFrame, small: int = SMALL, by: tuple[str, ...] = ()) -> Da
     # Where the value named is a dense one, both fingerprints are among the members below.
     near = (u > v) & (F.bit_count(u.bitwiseXOR(v)) <= BITS) & (a["key"] == _first_shared(u, v))
     alike = [a[c] == b[c] for c in ("key", *by)]
-    direct = a.join(b, reduce(lambda x, y: x & y, [*alike, near])).select("u", "v", *[a[c] for c in by])
+    direct = a.join(b.hint("merge"), reduce(lambda x, y: x & y, [*alike, near])).select("u", "v", *[a[c] for c in by])
+    # No join: the planner takes the points for as few rows as the fingerprints they come from, and would broadcast them.
     points = _midpoints(members.where(F.col("n") > small).select("fp", *by).distinct(), by)
-    least = points.groupBy("point", *by).agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    starred = points.join(least, ["point", *by]).where("fp != v").select(F.col("fp").alias("u"), "v", *by)
+    least = points.withColumn("v", F.min("fp").over(Window.partitionBy("point", *by)))
+    starred = least.where("fp != v").select(F.col("fp").alias("u"), "v", *by)
     return direct.unionByName(starred)
 
 

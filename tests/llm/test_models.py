@@ -193,6 +193,15 @@ def test_dense_groups_link_through_shared_values(spark):
         assert (find(a) == find(b)) == (roots.get(a, a) == roots.get(b, b))
 
 
+def test_points_of_dense_groups_are_not_broadcast(spark):
+    # 2,081 rows a fingerprint, which the planner takes for as many as there are fingerprints
+    prints = spark.createDataFrame([(3 << i,) for i in range(60)], "fp long")
+    found = op4_simhash.links(prints, small=2)
+    assert found.count() and components.components(found).select("root").distinct().count() == 1
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def near_pairs(texts, least=0.8):
     """Pairs of places whose texts are similar on windows of five words, by brute force."""
     sets = [set(op4_simhash.shingles(t, 5)) for t in texts]
