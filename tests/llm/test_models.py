@@ -233,6 +233,39 @@ def test_planted_near_copies_are_found(spark, docs):
     assert sum(i not in kept for i in planted) >= 0.9 * len(planted)
 
 
+@pytest.mark.parametrize("small", [2, 128])
+def test_every_near_copy_is_found(spark, small):
+    """Against brute force: copies about the threshold, short texts, a dense group, a common passage."""
+    rng = random.Random(23)
+    passage = [f"c{i}" for i in range(30)]
+    texts = []
+    for size in [*range(1, 30), *[rng.randrange(30, 200) for _ in range(40)]]:
+        base = [f"w{rng.randrange(2000)}" for _ in range(size)]
+        if size % 3 == 0:
+            base[:0] = passage
+        texts.append(" ".join(base))
+        for _ in range(40 if size == 29 else 5):
+            words = list(base)
+            for _ in range(rng.randrange(1, max(2, len(words) // 30 + 2))):
+                at = rng.choice([0, len(words) - 1, rng.randrange(len(words))])
+                words[at] = f"x{rng.randrange(500)}"
+            texts.append("\n".join(words))
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    pairs = near_pairs(texts)
+    for i, j in pairs:
+        parent[max(find(i), find(j))] = min(find(i), find(j))
+    want = sorted(i for i in range(len(texts)) if find(i) == i)
+    assert len(pairs) > 300 and len(texts) / 4 < len(want) < len(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in op4_simhash.representatives(rows, size=5, small=small).collect()) == want
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "u long, v long")
     got = {r["node"]: r["root"] for r in components.components(edges).collect()}
