@@ -7,11 +7,13 @@ A line's tokens are its distinct words. A line goes if an earlier line, in the o
    one byte a line (a mask) of its first places, and is staged once, bucketed by document.
    Every later step reads its words there, so that texts are shuffled once in all.
 2. Rarity: tokens are counted in hashed buckets, ``BUCKET_BITS`` bits of them; a token's level is the
-   logarithm of its bucket's count. Tokens are ordered by (level, hash), rarest first.
+   logarithm of its bucket's count. Tokens are ordered by (level, hash), rarest first. One line
+   in ``SAMPLE`` is counted: any order finds all pairs, a good one makes few candidates.
 3. Prefix filter: similar sets share one of their first n - ceil(0.8 n) + 1 tokens, that of
    the smaller set among its first n - ceil(8/9 n) + 1. Length and positional filters sit in
-   the join condition, and so does a bound from 128 parity bits of each set: sets differ by
-   at least as many tokens as their bits do, and similar ones by at most (n + m) / 9.
+   the join condition, and so does a bound from parity bits of each set, 128 of them if both
+   have over ``SHORT`` tokens, else 64: sets differ by at least as many tokens as their bits
+   do, and similar ones by at most (n + m) / 9.
 4. Variants of one line are settled first: in the group of each of its ``HEAD`` rarest tokens
    a line meets the group's first line and the two lines before it. Groups of frequent
    tokens are split by a salt, so rows are in proportion to the lines. Lines that have no
@@ -42,6 +44,8 @@ from .words import SPACE
 #: Similarity as a fraction, 4 / 5.
 NUM, DEN = 4, 5
 BUCKET_BITS = 20
+SAMPLE = 8
+SHORT = 64
 SLICES = 2
 HEAD = 6
 #: Groups of tokens this frequent, as a power of two, are split where variants are settled.
@@ -52,16 +56,21 @@ _NO_ID = (1 << 63) - 1
 _HALF = 40  # the token bit that says in which half of the parity bits a token counts
 _PLACE = ["id", "th", "line"]
 _DOC = ["id", "th"]
+_BLANK = " \t\n\v\f\r"
 
 
 def _keys(docs: DataFrame, text: str, doc_id: str) -> tuple[Column, Column]:
     return F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("th")
 
 
+def _has_word(line: Column) -> Column:
+    return F.ltrim(line, F.lit(_BLANK)) != ""
+
+
 def _lines(texts: DataFrame) -> DataFrame:
     """The rows with ``text`` split: line (from 0) and raw, of the lines with words."""
     others = [c for c in texts.columns if c != "text"]
-    return texts.select(*others, F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.col("raw").rlike(r"[^\x20\x09-\x0D]"))
+    return texts.select(*others, F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(_has_word(F.col("raw")))
 
 
 def mask_of(numbers: Column) -> Column:
@@ -103,9 +112,9 @@ def staged_documents(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def _words(raw: Column) -> Column:
     """A line's words with one space between two; most lines are written that way already."""
-    trimmed = F.btrim(raw, F.lit(" \t\n\v\f\r"))
+    trimmed = F.btrim(raw, F.lit(_BLANK))
     odd = reduce(lambda a, b: a | b, [raw.contains(c) for c in ("  ", "\t", "\r", "\v", "\f")])
-    return F.when(odd, F.regexp_replace(trimmed, SPACE + "+", " ")).otherwise(F.btrim(raw, F.lit(" ")))
+    return F.when(odd, F.regexp_replace(trimmed, SPACE + "+", " ")).otherwise(F.trim(raw))
 
 
 def class_lines(staged: DataFrame, text: str, keep: Column | None = None, marks: str = "firsts") -> DataFrame:
@@ -124,21 +133,31 @@ def _bucket(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - BUCKET_BITS)
 
 
-def rarity(classes: DataFrame) -> bytes:
-    """One byte a bucket: the level of its count. ``1 << BUCKET_BITS`` bytes, whatever the input."""
-    spark = classes.sparkSession
-    ones = classes.select(F.explode(F.split("words", " ")).alias("w")).select(_bucket(_hash(F.col("w"))).alias("b"), F.lit(1).cast("long").alias("n"))
-    none = spark.range(1 << BUCKET_BITS).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n"))
-    counts = ones.unionByName(none).groupBy("b").agg(F.sum("n").alias("n"))
-    level = F.least(F.lit(90), F.floor(F.log2(F.col("n") + 1) * 3)).cast("int")
-    grouped = counts.groupBy(F.expr(f"b div {_GROUP}").alias("g")).agg(F.sort_array(F.collect_list(F.struct("b", level.alias("v")))).alias("vs"))
-    rows = grouped.select("g", F.array_join(F.transform("vs", lambda x: F.char(x["v"] + 33)), "").alias("s")).collect()
-    return "".join(r["s"] for r in sorted(rows, key=lambda r: r["g"])).encode("ascii")
+def rarity(classes: DataFrame, one_in: int = 1) -> bytes:
+    """One byte a bucket: the level of its count, estimated from one line in ``one_in``.
+    ``1 << BUCKET_BITS`` bytes, whatever the input."""
+    if one_in > 1:
+        classes = classes.where(F.pmod(F.xxhash64(*_PLACE), F.lit(one_in)) == 0)
+    ones = classes.select(F.explode(F.split("words", " ")).alias("w")).select(_bucket(_hash(F.col("w"))).alias("b"))
+    counts = ones.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    level = F.least(F.lit(90), F.floor(F.log2(F.col("n") * one_in + 1) * 3)).cast("int")
+    in_group = F.pmod("b", F.lit(_GROUP)).cast("int")
+    grouped = counts.groupBy(F.expr(f"b div {_GROUP}").alias("g")).agg(F.sort_array(F.collect_list(F.struct(in_group.alias("b"), level.alias("v")))).alias("vs"))
+
+    def written(x: Column, i: Column) -> Column:
+        """The level after "!", which is level 0, for each bucket since the last without a count."""
+        before = F.when(i > 0, F.get("vs", i - 1)["b"]).otherwise(-1)
+        return F.concat(F.repeat(F.lit("!"), x["b"] - before - 1), F.char(x["v"] + 33))
+
+    rows = grouped.select("g", F.rpad(F.array_join(F.transform("vs", written), ""), _GROUP, "!").alias("s")).collect()
+    found = {r["g"]: r["s"] for r in rows}
+    return "".join(found.get(g, "!" * _GROUP) for g in range((1 << BUCKET_BITS) // _GROUP)).encode("ascii")
 
 
 def fronts(classes: DataFrame, levels: bytes) -> DataFrame:
     """(uid, id, th, line, n, front, s, e): of each class its rarest tokens, rarest first; s has
-    the parity bits of all its tokens, e those of the half of tokens with bit ``_HALF`` set."""
+    the parity bits of all its tokens, e those of the half of tokens with bit ``_HALF`` set, or
+    0 if it has no more than ``SHORT`` of them."""
     # Positions count from 1, and 0 is the first one too: bucket b is read at position b, the first bucket as the second.
     table = F.lit(levels[1:])
 
@@ -156,6 +175,7 @@ def fronts(classes: DataFrame, levels: bytes) -> DataFrame:
     length = n - F.ceil(n * F.lit(NUM) / F.lit(DEN)).cast("int") + 1
     s = F.aggregate("ordered", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(shift(one, t)))
     e = F.aggregate("ordered", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(shift(F.shiftrightunsigned(t, _HALF).bitwiseAND(one), t)))
+    e = F.when(n > SHORT, e).otherwise(F.lit(0).cast("long"))
     return ordered.select(
         F.monotonically_increasing_id().alias("uid"), *_PLACE, n.alias("n"), F.slice("ordered", F.lit(1), length).alias("front"), s.alias("s"), e.alias("e")
     )
@@ -164,23 +184,27 @@ def fronts(classes: DataFrame, levels: bytes) -> DataFrame:
 def _alike(n: Column, s: Column, e: Column, m: Column, s2: Column, e2: Column) -> Column:
     """Length filter and parity bound: similar sets differ by at most (n + m) / 9 tokens."""
     both, half = s.bitwiseXOR(s2), e.bitwiseXOR(e2)
-    differ = F.bit_count(half) + F.bit_count(both.bitwiseXOR(half))
+    differ = F.when(F.least(n, m) <= SHORT, F.bit_count(both)).otherwise(F.bit_count(half) + F.bit_count(both.bitwiseXOR(half)))
     return (m * DEN >= n * NUM) & (n * DEN >= m * NUM) & (differ * (NUM + DEN) <= (n + m) * (DEN - NUM))
 
 
 def _variants(table: DataFrame) -> DataFrame:
     """(uid, uid2): lines and such earlier ones of their tokens' groups as may be similar."""
-    me = F.struct("id", "uid", "n", "s", "e")
+    me = F.struct("uid", "n", "s", "e")
     head = table.select("id", "uid", "n", "s", "e", F.explode(F.slice("front", 1, HEAD)).alias("token"))
     bits = F.greatest(F.lit(0), F.shiftrightunsigned("token", _HASH_BITS) / 3 - 11 - GROUP_BITS).cast("int")  # levels count thirds from 33
     salted = head.withColumn("salt", F.pmod(F.xxhash64("uid"), F.call_function("shiftleft", F.lit(1).cast("long"), bits)))
     near = Window.partitionBy("token", "salt").orderBy("id", "uid")
-    met = salted.select("id", "uid", "n", "s", "e", F.first(me).over(near).alias("a"), F.lag(me, 1).over(near).alias("b"), F.lag(me, 2).over(near).alias("c"))
-    able = F.filter(
-        F.array("a", "b", "c"),
-        lambda x: x.isNotNull() & (x["uid"] != F.col("uid")) & _alike(F.col("n"), F.col("s"), F.col("e"), x["n"], x["s"], x["e"]),
-    )
-    return met.select("uid", F.explode(able).alias("x")).select("uid", F.col("x.uid").alias("uid2")).distinct()
+    rows = near.rowsBetween(Window.unboundedPreceding, Window.currentRow)  # asked for once a group, other than a range
+    met = salted.select("uid", "n", "s", "e", F.first(me).over(rows).alias("a"), F.lag(me, 1).over(near).alias("b"), F.lag(me, 2).over(near).alias("c"))
+
+    def able(x: Column) -> Column:
+        """The other line's uid, or null; no lambda, so that it is compiled."""
+        alike = _alike(F.col("n"), F.col("s"), F.col("e"), x["n"], x["s"], x["e"])
+        return F.when(x.isNotNull() & (x["uid"] != F.col("uid")) & alike, x["uid"])
+
+    others = met.select("uid", *[able(F.col(c)).alias(c) for c in "abc"]).where(F.coalesce("a", "b", "c").isNotNull())
+    return others.select("uid", F.explode(F.array("a", "b", "c")).alias("uid2")).where("uid2 is not null").distinct()
 
 
 def _verified(pairs: DataFrame, table: DataFrame, staged: DataFrame, text: str) -> DataFrame:
@@ -203,7 +227,7 @@ def _verified(pairs: DataFrame, table: DataFrame, staged: DataFrame, text: str)
 def similar_lines(staged: DataFrame, text: str) -> DataFrame:
     """(id, th, line) of the classes that have a similar class with an earlier first place."""
     classes = class_lines(staged, text)
-    table = stage_bucketed(fronts(classes, rarity(classes)), "fronts", _DOC)
+    table = stage_bucketed(fronts(classes, rarity(classes, SAMPLE)), "fronts", _DOC)
     # 1. variants of one line
     near = stage(_variants(table), "variants")
     settled = _verified(near, table, staged, text)
@@ -246,7 +270,7 @@ def deduped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
 
     def stays(line: Column, i: Column) -> Column:
         first = F.coalesce(_marked(F.col("firsts"), i), F.lit(False)) & ~F.coalesce(_marked(F.col("doubled"), i), F.lit(False))
-        return first | ~line.rlike(r"[^\x20\x09-\x0D]")
+        return first | ~_has_word(line)
 
     kept = joined.select("row", F.filter(raw, stays).alias("kept"), F.size(raw).alias("n"))
     gone = F.when(own.isNull(), 0).otherwise(F.col("n") - F.size("kept"))
