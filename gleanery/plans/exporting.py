@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import csv
 import json
 import re
 import tempfile
-import zipfile
+from collections.abc import Callable
 from html import unescape
 from pathlib import Path
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..engine import Engine
@@ -27,59 +28,98 @@ _FIELDS = ["listing_id", "title", "price_value", "town", "attr_key_1"]
 _SHOWN = "listing_id, title, coalesce(price_value::VARCHAR, '') AS price_value, coalesce(town, '') AS town, CASE WHEN k % 3 = 1 THEN 'v' || (k % 10) ELSE '' END AS attr_key_1"
 
 
-def _read_csv(path: Path) -> list[dict]:
-    with path.open(encoding="utf-8-sig", newline="") as f:
-        return list(csv.DictReader(f))
+def _shown(rows: DataFrame, read: Callable[[str], list]) -> DataFrame:
+    """The fields of each text of ``rows``, as texts."""
 
+    def run(batches):
+        for batch in batches:
+            found = [["" if v is None else str(v) for v in read(t)] for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found, strict=True)] or [pa.array([], pa.string())] * len(_FIELDS), _FIELDS)
 
-def _read_lines(path: Path) -> list[dict]:
-    rows = map(json.loads, path.read_text(encoding="utf-8").splitlines())
-    return [r | {"attr_key_1": r["attributes"].get("Key 1")} for r in rows]
+    return rows.mapInArrow(run, ", ".join(f"{c} string" for c in _FIELDS))
 
 
-def _read_sheet(path: Path) -> list[dict]:
-    sheet = zipfile.ZipFile(path).read("xl/worksheets/sheet1.xml").decode()
-    rows = [[unescape(re.sub("<[^>]*>", "", cell)) for cell in re.findall(r"<c(?: [^>]*)?/>|<c(?: [^>]*)?>.*?</c>", row)] for row in re.findall("<row>(.*?)</row>", sheet)]
-    return [dict(zip(rows[0], row, strict=True)) for row in rows[1:]]
+def _read_csv(spark, path: str) -> DataFrame:
+    found = spark.read.csv(path, header=True, multiLine=True, escape='"', mode="FAILFAST")
+    return found.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in _FIELDS])
 
 
-_READERS = {".csv": _read_csv, ".jsonl": _read_lines, ".xlsx": _read_sheet}
+def _read_lines(spark, path: str) -> DataFrame:
+    def read(line: str) -> list:
+        row = json.loads(line)
+        row["attr_key_1"] = row["attributes"].get("Key 1")
+        return [row[c] for c in _FIELDS]
 
+    return _shown(spark.read.text(path, lineSep="\n"), read)
 
-def _back(spark, sf_dir, suffix: str, write=writers.export):
-    """The listing table written to one file by its suffix and read back, as texts."""
-    with tempfile.TemporaryDirectory() as folder:  # single files are the driver's, so is their folder
-        path = Path(folder) / f"listings{suffix}"
-        write(stored_listings(spark, sf_dir), path)
-        found = _READERS[suffix](path)
-    rows = [tuple("" if r[c] is None else str(r[c]) for c in _FIELDS) for r in found]
-    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in _FIELDS))
+
+_CELL = re.compile(r"<c(?: [^>]*)?/>|<c(?: [^>]*)?>.*?</c>", re.S)
+
+
+def _cells(row: str) -> list[str]:
+    return _CELL.findall(row.partition("<row>")[2])
+
+
+def _cell_text(cell: str) -> str:
+    return unescape(re.sub("<[^>]*>", "", cell))
+
+
+def _read_sheet(spark, path: str) -> DataFrame:
+    """The sheet is unpacked to a file by its rows, which executors read in ranges."""
+    unpacked = shared_folder(spark, "sheet") + "/rows.xml"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    z = spark._jvm.java.util.zip.ZipInputStream(at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at))
+    while z.getNextEntry().getName() != writers.SHEET:
+        pass
+    out = writers.open_to_write(spark, unpacked)
+    writers.copy_bytes(spark, z, out)
+    out.close()
+    z.close()
+    rows = spark.read.text(unpacked, lineSep="</row>").where(F.contains("value", F.lit("<row>")))
+    first = F.startswith("value", F.lit("<worksheet"))
+    names = [_cell_text(c) for c in _cells(rows.where(first).first()["value"])]
+    places = [names.index(c) for c in _FIELDS]
+
+    def read(row: str) -> list:
+        cells = _cells(row)
+        return [_cell_text(cells[i]) for i in places]
+
+    return _shown(rows.where(~first), read)
+
+
+_READERS = {"csv": _read_csv, "jsonl": _read_lines, "xlsx": _read_sheet}
+
+
+def _back(spark, sf_dir, kind: str):
+    """The listing table written to one file of its kind and read back, as texts."""
+    path = f"{shared_folder(spark, 'listings')}/listings.{kind}"
+    writers.export(stored_listings(spark, sf_dir), path)
+    return _READERS[kind](spark, path)
 
 
 @query(LISTINGS + f"SELECT {_SHOWN} FROM l")
 def export_csv(spark, sf_dir):
     """SNK-03, SNK-12."""
-    return _back(spark, sf_dir, ".csv")
+    return _back(spark, sf_dir, "csv")
 
 
 @query(LISTINGS + f"SELECT {_SHOWN} FROM l")
 def export_jsonl(spark, sf_dir):
     """SNK-04, SNK-12."""
-    return _back(spark, sf_dir, ".jsonl")
+    return _back(spark, sf_dir, "jsonl")
 
 
 @query(LISTINGS + f"SELECT {_SHOWN} FROM l")
 def export_excel(spark, sf_dir):
     """SNK-05, SNK-12."""
-    return _back(spark, sf_dir, ".xlsx")
+    return _back(spark, sf_dir, "xlsx")
 
 
 @query(LISTINGS + f"SELECT {_SHOWN} FROM l UNION ALL SELECT {_SHOWN} FROM l")
 def export_pair(spark, sf_dir):
     """SNK-06: both files of the pair."""
-    return _back(spark, sf_dir, ".csv", lambda rows, path: writers.export_all(rows, path.parent)).unionByName(
-        _back(spark, sf_dir, ".jsonl", lambda rows, path: writers.export_all(rows, path.parent))
-    )
+    paths = writers.export_all(stored_listings(spark, sf_dir), shared_folder(spark, "listings"))
+    return _READERS["csv"](spark, paths["csv"]).unionByName(_READERS["jsonl"](spark, paths["jsonl"]))
 
 
 @query("SELECT * FROM (VALUES ('locale', '\"si\"'), ('max_listings', 'null'), ('max_pages_per_query', '7'), ('towns', '[\"Balangoda\"]')) t(name, value)")

@@ -142,3 +142,23 @@ def test_discover_command(spark, tmp_path, capsys):
 
 def test_public_names():
     assert set(gleanery.__all__) <= {*dir(gleanery), *gleanery._HOMES} and gleanery.Settings()["locale"] == "en" and gleanery.LISTING.names[0] == "listing_id"
+
+
+def test_no_row_passes_through_the_driver(listings, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from gleanery.plans import exporting
+
+    def refused(*_):
+        raise AssertionError("rows are sent to the driver")
+
+    rows = listings.withColumns({"town": F.lit('a "b", c\\'), "price_value": F.when(F.col("listing_id") == "a", 1.5)}).unionByName(
+        listings.limit(1).withColumns({"listing_id": F.lit("c"), "title": F.lit(" two\nlines <&> "), "attributes": F.create_map(F.lit("Key 1"), F.lit('"v"'))})
+    )
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "toLocalIterator", refused)
+        for kind in exporting._READERS:
+            assert writers.export(rows, f"file://{tmp_path}/sub/x.{kind}") == 3
+    shown = {("a", 'ඉඩම, "x"', "1.5", 'a "b", c\\', ""), ("b", "", "", 'a "b", c\\', ""), ("c", " two\nlines <&> ", "", "", "v")}
+    for kind, read in exporting._READERS.items():
+        assert {tuple(r) for r in read(rows.sparkSession, f"file://{tmp_path}/sub/x.{kind}").collect()} == shown, kind
