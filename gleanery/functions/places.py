@@ -46,6 +46,21 @@ def district_of(town: Column) -> Column:
     return F.try_element_at(dims.literal_map({t: d for _, t, d in dims.towns_by_rank()}), key)
 
 
+def _firsts(names: list[str]) -> str:
+    return "".join(dict.fromkeys(n[0] for n in names))
+
+
+def _by_first(names: list[str]) -> str:
+    """Alternatives by their first letter. Of those that fit at a place, the first is the same."""
+    return "|".join(f + "(?:" + "|".join(n[1:] for n in names if n[0] == f) + ")" for f in _firsts(names))
+
+
+def _spelling(town: str) -> str:
+    """``canonical_town`` of a name of the gazetteer, which are lower-cased and stripped."""
+    words = "".join(w[:1].upper() + w[1:] for w in re.split(r"(?<=[^a-z])", town))
+    return dims.CANONICAL_TOWNS.get(town) or (words if town.isascii() else town)
+
+
 def find_town(text: Column) -> Column:
     """struct(town, district): the longest town named anywhere in a text, then the first listed.
 
@@ -53,14 +68,14 @@ def find_town(text: Column) -> Column:
     Latin names need word boundaries; other scripts add case suffixes, so any substring counts.
     """
     table = dims.towns_by_rank()
-    latin = "|".join(re.escape(t).replace(r"\ ", " ").replace(r"\-", "-") for _, t, _ in table if t.isascii())
-    other = "|".join(t for _, t, _ in table if not t.isascii())
+    latin = [re.escape(t).replace(r"\ ", " ").replace(r"\-", "-") for _, t, _ in table if t.isascii()]
+    other = [t for _, t, _ in table if not t.isascii()]
     hits = F.concat(
-        F.regexp_extract_all(F.lower(text), F.lit(rf"(?U)(?=\b({latin})\b)"), F.lit(1)),
-        F.regexp_extract_all(text, F.lit(f"(?=({other}))"), F.lit(1)),
+        F.regexp_extract_all(F.lower(text), F.lit(rf"(?U)(?=[{_firsts(latin)}])(?=\b({_by_first(latin)})\b)"), F.lit(1)),
+        F.regexp_extract_all(text, F.lit(f"(?=[{_firsts(other)}])(?=({_by_first(other)}))"), F.lit(1)),
     )
     rank = F.create_map(*[F.lit(x) for i, t, _ in table for x in (t, i)])
     best = F.array_min(F.transform(hits, lambda t: F.try_element_at(rank, t)))
-    towns = F.array(*[F.lit(t) for _, t, _ in table])
+    towns = F.array(*[F.lit(_spelling(t)) for _, t, _ in table])
     districts = F.array(*[F.lit(d) for _, _, d in table])
-    return F.struct(canonical_town(F.get(towns, best)).alias("town"), F.get(districts, best).alias("district"))
+    return F.struct(F.get(towns, best).alias("town"), F.get(districts, best).alias("district"))

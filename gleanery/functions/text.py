@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What counts as white space in a text of any script.
@@ -17,6 +17,13 @@ def empty_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def computed(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``rows`` with ``columns``, each computed once a row: the optimizer writes plain ones out for each use
+    of each field, and again into filters on what is made of them. It doesn't reach through a generator."""
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return rows.select("*", F.explode(F.array(made)).alias("_made")).select(*rows.columns, "_made.*")
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import money, places
-from ..functions.text import clean, flag_kind, listing_id, row_key, strip
+from ..functions.text import clean, computed, flag_kind, listing_id, row_key, strip
 from ..schemas import ROW_COLUMNS
+from ..sources.shared import staged
 
 
 def flags_of(price_basis: Column, amount: Column, perches: Column, unit: Column, per_perch: Column, total: Column,
@@ -36,7 +37,7 @@ def normalise(rows: DataFrame) -> DataFrame:
         F.coalesce(clean(F.col("title")), F.lit("")).alias("title"), clean(F.col("location")).alias("location_listed"),
         clean(F.col("size")).alias("size_text"), clean(F.col("price")).alias("price_text"), "source_table",
     )
-    out = out.withColumns({
+    out = computed(out, {
         "_size": money.parse_size(F.col("size_text")), "_price": money.parse_price_basis(F.col("price_text")),
         "_named": places.find_town(F.col("title")), "_listed": places.find_town(F.col("location_listed")),
         "_exact": places.district_of(F.col("location_listed")),
@@ -165,7 +166,8 @@ def to_listing(rows: DataFrame, scraped_at: Column) -> DataFrame:
 
 
 def summary(rows: DataFrame, district: str = dims.DISTRICT) -> DataFrame:
-    """(section, key, n): row counts, distinct adverts, districts and flag kinds."""
+    """(section, key, n): row counts, distinct adverts, districts and flag kinds. Rows are read once."""
+    rows = staged(rows.select("row_key", "district", "flags"), "summary")
     one = rows.agg(
         F.count(F.lit(1)).alias("rows_parsed"), F.count_distinct("row_key").alias("unique_adverts"),
         F.count_if(F.col("district") == district).alias("in_district"),

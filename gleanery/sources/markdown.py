@@ -1,6 +1,6 @@
 """Markdown tables in texts, as rows.
 
-Lines are split in the scan, headers are carried forward by a window per document, and
+Lines are split in the scan, headers are carried forward by a window per stretch of a document, and
 cells are bound to roles by the header above them. Several tables may follow each other.
 """
 
@@ -47,15 +47,31 @@ def fit_cells(cells: Column, width: Column) -> Column:
     return F.when(surplus > 0, joined).otherwise(padded)
 
 
+#: Lines of a document that are taken together; of all before them only the last header is known.
+STRETCH = 1 << 13
+
+
+def _with_headers(rows: DataFrame) -> DataFrame:
+    """``roles`` and ``source_table``, the last header so far in the row's document and its number. A long
+    document is dealt out by its stretches, and each starts from what those before it ended with."""
+    ends = rows.groupBy("doc", "part").agg(F.max_by("header", F.when(F.col("header").isNotNull(), F.col("line"))).alias("header"), F.count("header").alias("n"))
+    before = Window.partitionBy("doc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select(
+        "doc", "part", F.lit(-1).alias("line"), F.lit(None).cast("array<string>").alias("cells"),
+        F.last("header", ignorenulls=True).over(before).alias("header"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"),
+    )
+    order = Window.partitionBy("doc", "part").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    both = rows.withColumn("n", F.col("header").isNotNull().cast("long")).unionByName(starts)
+    return both.withColumns({"roles": F.last("header", ignorenulls=True).over(order), "source_table": F.sum("n").over(order).cast("string")}).where("line >= 0")
+
+
 def table_rows(texts: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
     """(doc, line, source_table, title, size, location, price, link) of every table row with a title."""
     lines = texts.select(F.col(doc).alias("doc"), F.posexplode(F.split(text, r"\R")).alias("line", "raw"))
     rows = lines.where(F.startswith(strip(F.col("raw")), F.lit("|")) & ~strip(F.col("raw")).rlike(_SEPARATOR))
-    rows = rows.select("doc", "line", cells_of(F.col("raw")).alias("cells")).withColumn("header", roles_of(F.col("cells")))
-    order = Window.partitionBy("doc").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    bound = rows.withColumns(
-        {"roles": F.last("header", ignorenulls=True).over(order), "source_table": F.count("header").over(order).cast("string")}
-    ).where("header is null and roles is not null")
+    rows = rows.withColumn("part", F.floor(F.col("line") / STRETCH)).repartition("doc", "part")  # a document's lines come from one task
+    rows = rows.select("doc", "part", "line", cells_of(F.col("raw")).alias("cells")).withColumn("header", roles_of(F.col("cells")))
+    bound = _with_headers(rows).where("header is null and roles is not null")
     cells = fit_cells(F.col("cells"), F.size("roles"))
     pairs = F.filter(F.arrays_zip(F.col("roles").alias("r"), cells.alias("c")), lambda p: p["r"].isNotNull())
     by_role = F.map_from_arrays(F.transform(pairs, lambda p: p["r"]), F.transform(pairs, lambda p: p["c"]))

@@ -56,3 +56,22 @@ def test_import_is_idempotent(spark):
     again = merging.upsert(once, rows)
     assert once.count() == 5
     assert sorted(map(str, again.select("listing_id", "title", "price_value").collect())) == sorted(map(str, once.select("listing_id", "title", "price_value").collect()))
+
+
+def test_a_long_document_is_dealt_out(spark, monkeypatch):
+    table = "| Title | Size | Price |\n|---|---|---|\n" + "".join(f"| Lot {i} | {i} perches | Rs 5 |\n" for i in range(40))
+    other = "| Name | Asking price | Extent |\n|---|---|---|\n" + "".join(f"| Plot {i} | Rs 7 | {i} perches |\n" for i in range(40))
+    texts = spark.createDataFrame([("d", "| stray | x |\n" + table + "\n" + other), (None, other)], "doc string, text string")
+    columns = ["doc", "line", "source_table", *markdown.ROLES]
+    whole = sorted(map(str, markdown.table_rows(texts).select(*columns).collect()))
+    monkeypatch.setattr(markdown, "STRETCH", 7)
+    rows = markdown.table_rows(texts).select(*columns)
+    assert sorted(map(str, rows.collect())) == whole and len(whole) == 120
+    assert {(r["doc"], r["source_table"], r["price"]) for r in rows.collect()} == {("d", "1", "Rs 5"), ("d", "2", "Rs 7"), (None, "1", "Rs 7")}
+
+
+def test_places_are_found_once(spark):
+    rows = spark.createDataFrame([("Land at Kuruwita", "5 perches", "Rs 9 / perch", "Galle", "1"), ("ඇඹිලිපිටිය x", None, None, None, "1")], "title string, size string, price string, location string, source_table string")
+    plan = importing.flagged(importing.normalise(rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 8  # two scripts, two texts, two fields
+    assert [tuple(r) for r in importing.normalise(rows).select("town", "district", "size_perches", "price_total").collect()] == [("Kuruwita", "Ratnapura", 5.0, 45.0), ("Embilipitiya", "Ratnapura", None, None)]
