@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_READ
+from ..sources.shared import staged
 from .merging import fold
 
 _FILLED = ("title", "price_text", "location_text", "posted_text")
@@ -45,9 +46,10 @@ def detail_score() -> Column:
 
 
 def merge_details(reads: DataFrame, page: str = "page_url") -> DataFrame:
-    """One listing a detail page: the richest read first, each poorer one laid over it."""
+    """One listing a detail page: the richest read first, each poorer one laid over it. Pages are read
+    once; the fold reads its observations three times."""
     ranked = reads.withColumn("seq", F.row_number().over(Window.partitionBy(page).orderBy(F.desc(detail_score()), "strategy_ord")))
-    return fold(ranked, key=page)
+    return fold(staged(ranked, "details"), key=page)
 
 
 def strategy_counts(reads: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions.text import stable_class
 from ..sources import pages as P
+from ..sources.shared import staged
 
 TOP_CLASSES = 8
 TOP_SLUGS = 60
@@ -19,7 +20,11 @@ SAMPLES = 3
 
 def learn_cards(pages: DataFrame, top: int = TOP_CLASSES) -> DataFrame:
     """(selector, raw_class, matches): the classes most often around advert links; ties by first sight."""
-    seen = P.ancestors(pages).groupBy("tag", "class").agg(F.count(F.lit(1)).alias("matches"), F.min(F.struct("page_url", "pos")).alias("_first"))
+    return _cards(P.ancestors(pages), top)
+
+
+def _cards(seen: DataFrame, top: int = TOP_CLASSES) -> DataFrame:
+    seen = seen.groupBy("tag", "class").agg(F.count(F.lit(1)).alias("matches"), F.min(F.struct("page_url", "pos")).alias("_first"))
     best = seen.orderBy(F.desc("matches"), "_first").limit(top)
     selector = F.concat(F.col("tag"), F.lit("[class*='"), stable_class(F.col("class")), F.lit("']"))
     return best.select(selector.alias("selector"), F.col("class").alias("raw_class"), "matches")
@@ -59,12 +64,12 @@ def samples(reads: DataFrame, n: int = SAMPLES) -> DataFrame:
 
 def report(pages: DataFrame, locale: str = "en") -> dict:
     """What a first look tells, as one object: strategies, card candidates, categories, payloads. Each
-    part is bounded, whatever the pages."""
-    reads = P.reads(pages)
-    counts = reads.groupBy("strategy").agg(F.count(F.lit(1)).alias("n")).collect()
+    part is bounded, whatever the pages, which are parsed once."""
+    seen = staged(P.first_look(pages), "look")
+    counts = seen.where("strategy is not null").groupBy("strategy").agg(F.count(F.lit(1)).alias("n")).collect()
     return {
         "strategies": {r["strategy"]: r["n"] for r in counts},
-        "card_candidates": [r.asDict() for r in learn_cards(pages).collect()],
-        "categories": categories(P.links(pages), locale),
+        "card_candidates": [r.asDict() for r in _cards(seen.where("tag is not null")).collect()],
+        "categories": categories(seen.where("href is not null").select("page_url", "pos", "href"), locale),
         "payloads": [r.asDict() for r in payloads(pages).where("blob_count > 0").limit(SAMPLES).collect()],
     }
